@@ -200,8 +200,8 @@ ORACLES["category_modes"] = f"""WITH {_RAW},
 c AS (SELECT 'Stage_fear' AS column_name, Stage_fear AS value FROM raw
   UNION ALL SELECT 'Drained_after_socializing', Drained_after_socializing FROM raw
   UNION ALL SELECT 'Personality', Personality FROM raw),
-n AS (SELECT column_name, value, row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, value) AS r
-  FROM c WHERE value IS NOT NULL GROUP BY ALL)
+g AS (SELECT column_name, value, count(*) AS n FROM c WHERE value IS NOT NULL GROUP BY column_name, value),
+n AS (SELECT column_name, value, row_number() OVER (PARTITION BY column_name ORDER BY n DESC, value) AS r FROM g)
 SELECT column_name, value AS mode FROM n WHERE r = 1"""
 ORACLES["label_distribution"] = f"""WITH {_ENC}
 SELECT y AS label, count(*) AS class_count, round(count(*) / (SELECT count(*) FROM e), 6) AS class_ratio FROM e GROUP BY y"""
