@@ -98,50 +98,56 @@ def fit_enhanced(
     target_means: bool = True,
     statistics: bool = True,
     target_columns: Sequence[str] | None = None,
-) -> dict[str, Any]:
-    """Learn the enhanced silver step on training rows.
+) -> tuple[dict[str, Any], DataFrame]:
+    """Learn the enhanced silver step on training rows; returns what was
+    learned and the enhanced training rows.
 
     The stages feed each other: lambdas, then target means, then the statistics
-    of the imputed table. ``train`` should be a stored table.
+    of the filled table, which is written once and serves both. ``train``
+    should be a stored table.
     """
     fitted: dict[str, Any] = {"power": encode.fit_power(train, spec, _measurable(train, spec)) if power else {}}
-    out = encode.power_transform(train, fitted["power"])
     fitted["target"] = None
-    if target_means:
-        columns = list(target_columns) if target_columns is not None else [c for c in text_columns(train) if c != spec.label]
-        columns = spec.present(train, columns)
-        if columns:
-            fitted["target"] = durable(encode.fit_target_means(train, gold.label_value(train, spec), spec, columns), "means")
-            out = encode.target_encode(out, fitted["target"], spec)
+    columns = list(target_columns) if target_columns is not None else [c for c in text_columns(train) if c != spec.label]
+    columns = spec.present(train, columns)
+    if target_means and columns:
+        fitted["target"] = durable(encode.fit_target_means(train, gold.label_value(train, spec), spec, columns), "means")
+    out = _encoded(train, fitted, spec)
     fitted["statistics"] = statistics
-    if statistics:
-        fitted["numeric"] = [c for c in numeric_columns(out) if c not in spec.not_features]
-        fitted["donors"] = durable(out.select(spec.id, *fitted["numeric"]), "donor-rows")
-        fitted["modes"] = encode.fit_modes(out, [c for c in text_columns(out) if c != spec.label])
-        imputed = durable(neighbours.knn_impute(fitted["donors"], spec, fitted["numeric"]), "imputed")
-        fitted["zscores"] = encode.fit_key_zscores(imputed, spec)
-    return fitted
+    if not statistics:
+        return fitted, out
+    fitted["numeric"] = _measurable(out, spec)
+    fitted["donors"] = durable(out.select(spec.id, *fitted["numeric"]), "donor-rows")
+    fitted["modes"] = encode.fit_modes(out, [c for c in text_columns(out) if c != spec.label])
+    filled = _filled(out, fitted, spec)
+    fitted["zscores"] = encode.fit_key_zscores(filled, spec)
+    return fitted, _described(filled, fitted, spec)
 
 
 def _measurable(df: DataFrame, spec: FeatureSpec) -> list[str]:
     return [c for c in numeric_columns(df) if c not in spec.not_features]
 
 
+def _encoded(df: DataFrame, fitted: Mapping[str, Any], spec: FeatureSpec) -> DataFrame:
+    out = encode.power_transform(df, fitted["power"])
+    return out if fitted["target"] is None else encode.target_encode(out, fitted["target"], spec)
+
+
+def _filled(df: DataFrame, fitted: Mapping[str, Any], spec: FeatureSpec) -> DataFrame:
+    flagged = encode.was_missing_flags(df, fitted["numeric"])
+    return durable(neighbours.knn_impute(flagged, spec, fitted["numeric"], fit_on=fitted["donors"]), "filled")
+
+
+def _described(filled: DataFrame, fitted: Mapping[str, Any], spec: FeatureSpec) -> DataFrame:
+    out = encode.key_zscores(with_row_moments(filled, fitted["numeric"]), fitted["zscores"])
+    return encode.mode_flags(encode.key_percentiles(out, spec), fitted["modes"])
+
+
 def apply_enhanced(df: DataFrame, fitted: Mapping[str, Any], spec: FeatureSpec = DEFAULT) -> DataFrame:
     """Power columns, target means, gap flags and fills, row moments, z-scores,
-    percent ranks and mode flags."""
-    out = encode.power_transform(df, fitted["power"])
-    if fitted["target"] is not None:
-        out = encode.target_encode(out, fitted["target"], spec)
-    if not fitted["statistics"]:
-        return out
-    names = fitted["numeric"]
-    out = encode.was_missing_flags(out, names)
-    out = durable(neighbours.knn_impute(out, spec, names, fit_on=fitted["donors"]), "filled")
-    out = with_row_moments(out, names)
-    out = encode.key_zscores(out, fitted["zscores"])
-    out = encode.key_percentiles(out, spec)
-    return encode.mode_flags(out, fitted["modes"])
+    percent ranks and mode flags, for rows other than the training rows."""
+    out = _encoded(df, fitted, spec)
+    return _described(_filled(out, fitted, spec), fitted, spec) if fitted["statistics"] else out
 
 
 def enhanced_silver(
@@ -158,5 +164,5 @@ def enhanced_silver(
     basic = fit_silver(ready[0], spec)
     tables = [durable(apply_silver(df, basic, spec), "base-silver") for df in ready]
     switches.setdefault("target_columns", spec.yes_no)
-    fitted = fit_enhanced(tables[0], spec, **switches)
-    return [apply_enhanced(df, fitted, spec) for df in tables]
+    fitted, enhanced = fit_enhanced(tables[0], spec, **switches)
+    return [enhanced, *[apply_enhanced(df, fitted, spec) for df in tables[1:]]]

@@ -764,10 +764,8 @@ def enhanced_features(spark, folder):
     """Power, target means, fills, moments and ranks over the bronze columns:
     learned on train, applied to train and test."""
     train, test = split_profile(stored(order_profile(spark, folder)))
-    ready = [bronze.encode_yes_no(df) for df in (train, test)]
-    fitted = layers.fit_enhanced(stored(ready[0]), target_columns=SPEC.yes_no)
-    parts = [layers.apply_enhanced(df, fitted) for df in ready]
-    return parts[0].unionByName(parts[1])
+    fitted, enhanced = layers.fit_enhanced(stored(bronze.encode_yes_no(train)), target_columns=SPEC.yes_no)
+    return enhanced.unionByName(layers.apply_enhanced(bronze.encode_yes_no(test), fitted))
 
 
 # ---- gold -------------------------------------------------------------------
