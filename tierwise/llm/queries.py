@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import edits, linededup, mixing, pieces, quality, secrets, simhash, spotsigs
+from tierwise.llm import edits, linededup, mixing, ngrams, passages, pieces, quality, secrets, simhash, spotsigs
 from tierwise.llm.common import documents
 
 
@@ -23,6 +23,11 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(documents(spark, sf_dir))
 
 
+def op3_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores rounded to 4 decimals: sums of logarithms depend on their order in the last digits."""
+    return ngrams.scores(documents(spark, sf_dir)).withColumn("log_score", F.round("log_score", 4))
+
+
 def sentencepiece_digests(docs: DataFrame) -> DataFrame:
     path = piece_model()
     coded = pieces.decode(pieces.encode(docs.select("doc_id", "text"), path).drop("text"), path)
@@ -64,6 +69,10 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(documents(spark, sf_dir)).drop("host", "key1", "key2")
 
 
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(documents(spark, sf_dir))
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
     return out.select("doc_id", "text", "line_dedup.n_lines", "line_dedup.n_removed")
@@ -98,10 +107,12 @@ QUERIES = {
     for f in (
         op1_spotsigs,
         op2_mix_sources,
+        op3_backoff_scores,
         op4_sentencepiece,
         op5_simhash,
         op6_secrets,
         op7_quality,
+        op8_passages,
         op9_line_dedup,
         op10_token_counts,
     )
