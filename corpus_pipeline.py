@@ -42,8 +42,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, with what they decode to."""
-    path = piece_model()
-    coded = pieces.decode(pieces.encode(docs, path), path)
+    coded = pieces.encode(docs, piece_model(), decoded="decoded")
     return coded.select("doc_id", "source", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
 

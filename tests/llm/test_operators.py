@@ -125,6 +125,8 @@ def test_pieces_equal_the_library(docs, rows):
     for text, ids, decoded in got:
         want = library.encode(text or "", add_eos=True)
         assert ids == want and decoded == library.decode(want)
+    once = pieces.encode(docs, path, decoded="decoded").select("text", "ids", "decoded").collect()
+    assert sorted(map(str, once)) == sorted(map(str, got))
 
 
 def test_pieces_odd_texts_and_ids():

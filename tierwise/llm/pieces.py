@@ -14,8 +14,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-CHARS_AT_ONCE = 1_000_000
-CACHED_WORDS = 400_000
+CHARS_AT_ONCE = 500_000
+CACHED_WORDS = 200_000
 ROUNDS = 200
 NONE = np.iinfo(np.int64).max
 # A long run of spaces is cut where its merges end: the longest piece of spaces only.
@@ -303,15 +303,16 @@ def parts(column: pa.Array, most: int = CHARS_AT_ONCE) -> Iterator[tuple[int, in
         at = to
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") -> DataFrame:
+def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids", decoded: str | None = None) -> DataFrame:
     """``docs`` with ``ids``: the pieces of each whole text and the end id (null text: as empty).
 
-    Exactly as the sentencepiece library does without sampling. A column already named ``ids``
-    is replaced.
+    Exactly as the sentencepiece library does without sampling. With ``decoded``, also what the
+    ids decode to, in the same pass. Columns already so named are replaced.
     """
-    docs = docs.drop(ids)
-    schema = T.StructType([*docs.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
-    names = [*docs.columns, ids]
+    docs = docs.drop(*[c for c in (ids, decoded) if c])
+    added = [T.StructField(ids, T.ArrayType(T.IntegerType()))] + ([T.StructField(decoded, T.StringType())] if decoded else [])
+    schema = T.StructType([*docs.schema.fields, *added])
+    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = pieces(path)
@@ -321,7 +322,8 @@ def encode(docs: DataFrame, path: str, text: str = "text", ids: str = "ids") ->
                 piece = batch.slice(a, b - a)
                 flat, counts = model.encode(piece.column(column).to_pylist())
                 lists = pa.ListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32), pa.array(flat, pa.int32()))
-                yield pa.RecordBatch.from_arrays([*piece.columns, lists], names)
+                back = [pa.array(model.decode(flat, counts), pa.string())] if decoded else []
+                yield pa.RecordBatch.from_arrays([*piece.columns, lists, *back], names)
 
     return docs.mapInArrow(run, schema)
 

@@ -29,8 +29,7 @@ def op3_backoff_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece_digests(docs: DataFrame) -> DataFrame:
-    path = piece_model()
-    coded = pieces.decode(pieces.encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    coded = pieces.encode(docs.select("doc_id", "text"), piece_model(), decoded="decoded")
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
