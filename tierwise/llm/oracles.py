@@ -1,3 +1,99 @@
-"""SQL for the text queries that SQL can state."""
+"""DuckDB SQL for the text queries that SQL can state. The others are tested against brute force."""
 
-ORACLES: dict[str, str] = {}
+# As DuckDB reads an escape in E'' strings; the six ASCII space characters.
+SPACES = r"[ \t\n\x0B\f\r]+"
+
+OP2 = f"""
+WITH RECURSIVE counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+total AS (SELECT sum(sqrt(n)) AS w, sum(n) AS n FROM counts),
+rates AS (SELECT source, sqrt(c.n) / t.w * CAST(t.n AS DOUBLE) / c.n AS rate FROM counts c, total t),
+parts AS (SELECT source, rate, greatest(ceil(rate / 64.0), 1)::INT AS m FROM rates),
+cdf AS (
+  SELECT source, m, rate / m AS r, 0 AS k, exp(-rate / m) AS p, exp(-rate / m) AS c,
+         (ceil(rate / m + 12 * sqrt(rate / m)) + 30)::INT AS last FROM parts
+  UNION ALL
+  SELECT source, m, r, k + 1, p * r / (k + 1), c + p * r / (k + 1), last FROM cdf WHERE k < last),
+draws AS (
+  SELECT d.doc_id, d.source, CAST('0x' || substr(md5('mix-1:' || d.doc_id || ':' || j), 1, 13) AS BIGINT) / 4503599627370496.0 AS u
+  FROM (SELECT doc_id, source, unnest(range(m)) AS j FROM documents JOIN parts USING (source)) d),
+hits AS (SELECT doc_id, count(*) AS n FROM draws JOIN cdf USING (source) WHERE c <= u GROUP BY doc_id),
+copies AS (SELECT doc_id, unnest(range(1, n + 1)) AS mix_copy FROM hits)
+SELECT d.*, mix_copy, md5('mix-1:order:' || doc_id || ':' || mix_copy) AS mix_key FROM documents d JOIN copies USING (doc_id)
+"""
+
+OP3 = f"""
+WITH w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+         '{SPACES}'), lambda x: x <> '') AS w FROM documents),
+cells AS (SELECT doc_id, unnest(w) AS b, unnest(range(1, len(w) + 1)) AS i, w FROM w),
+pos AS (SELECT doc_id, i, b, CASE WHEN i > 1 THEN w[i - 1] END AS a FROM cells),
+n AS (SELECT sum(len(w)) AS n FROM w),
+u AS (SELECT b, count(*) AS n FROM pos GROUP BY b), ud AS (SELECT doc_id, b, count(*) AS n FROM pos GROUP BY doc_id, b),
+p AS (SELECT a, b, count(*) AS n FROM pos WHERE a IS NOT NULL GROUP BY a, b),
+pd AS (SELECT doc_id, a, b, count(*) AS n FROM pos WHERE a IS NOT NULL GROUP BY doc_id, a, b),
+c AS (
+  SELECT s.doc_id, s.i, coalesce(p.n - pd.n, 0) AS pair, ua.n - uda.n AS before, ub.n - udb.n AS single, (SELECT n FROM n) - len(w.w) AS others
+  FROM pos s JOIN w USING (doc_id) JOIN u ub ON ub.b = s.b JOIN ud udb ON udb.doc_id = s.doc_id AND udb.b = s.b
+  LEFT JOIN u ua ON ua.b = s.a LEFT JOIN ud uda ON uda.doc_id = s.doc_id AND uda.b = s.a
+  LEFT JOIN p ON p.a = s.a AND p.b = s.b LEFT JOIN pd ON pd.doc_id = s.doc_id AND pd.a = s.a AND pd.b = s.b),
+v AS (
+  SELECT doc_id, CASE WHEN pair > 0 THEN pair / before
+    ELSE (CASE WHEN i > 1 THEN 0.4::DOUBLE ELSE 1.0::DOUBLE END) * CASE WHEN single > 0 THEN single / others ELSE 1.0::DOUBLE / (others + 1) END END AS s,
+    (CASE WHEN i > 1 THEN pair ELSE single END > 0)::INT AS seen FROM c)
+SELECT w.doc_id, len(w.w)::BIGINT AS n_words, round(coalesce(sum(ln(s)), 0.0), 4)::DOUBLE AS log_score, coalesce(sum(seen), 0)::BIGINT AS n_seen
+FROM w LEFT JOIN v ON v.doc_id = w.doc_id GROUP BY w.doc_id, w.w
+"""
+
+OP7 = f"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
+w AS (SELECT doc_id, list_filter(regexp_split_to_array(text, '{SPACES}'), lambda x: x <> '') AS w FROM d),
+g AS (SELECT doc_id, unnest(range(1, len(w) - 3)) AS i, w FROM w WHERE len(w) >= 5),
+grams AS (SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM g),
+again AS (SELECT doc_id, unnest(range(i, i + 5)) AS i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS n FROM grams) WHERE n > 1),
+reps AS (SELECT doc_id, count(DISTINCT i) AS n FROM again GROUP BY doc_id),
+raw AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS l FROM d),
+dup AS (SELECT doc_id, count(*) - count(DISTINCT l) AS n FROM raw WHERE regexp_matches(l, '[^ \\t\\n\\x0B\\f\\r]') GROUP BY doc_id),
+ls AS (SELECT doc_id, host, text, trim(regexp_replace(lower(x), '[ \\t\\x0B\\f\\r]+', ' ', 'g'), ' ') AS l
+       FROM (SELECT doc_id, host, text, unnest(string_split(text, chr(10))) AS x FROM d)),
+held AS (SELECT host, text, l, min(doc_id) AS doc, sum(len(string_split(l, ' '))) AS n FROM ls WHERE l <> '' GROUP BY host, text, l),
+texts AS (SELECT host, text, sum(n) AS total FROM held GROUP BY host, text),
+hosts AS (SELECT host, count(*) AS n FROM texts GROUP BY host),
+freq AS (SELECT host, l, min(doc) AS owner FROM held JOIN hosts USING (host) GROUP BY host, l
+         HAVING count(*) > 20 AND count(*) > 0.02 * max(hosts.n)),
+owners AS (SELECT f.host, f.l, d.text AS owner FROM freq f JOIN d ON d.doc_id = f.owner),
+lost AS (SELECT h.host, h.text, sum(n) AS lost FROM held h JOIN owners o ON h.host = o.host AND h.l = o.l AND h.text <> o.owner GROUP BY h.host, h.text),
+gone AS (SELECT host, text FROM lost JOIN texts USING (host, text) WHERE 100 * lost > 70 * total),
+m AS (
+  SELECT d.doc_id, d.host, d.text, len(w.w)::BIGINT AS n_words, length(array_to_string(w.w, ''))::BIGINT AS word_chars,
+    length(regexp_replace(array_to_string(w.w, ''), '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+    coalesce(dup.n, 0)::BIGINT AS n_dup_lines, coalesce(reps.n, 0)::BIGINT AS n_repeat_words
+  FROM d JOIN w USING (doc_id) LEFT JOIN dup USING (doc_id) LEFT JOIN reps USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND gone.text IS NULL AS kept
+FROM m LEFT JOIN gone ON gone.host = m.host AND gone.text = m.text
+"""
+
+OP9 = r"""
+WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS raw FROM documents),
+l AS (SELECT doc_id, unnest(raw) AS line, unnest(range(len(raw))) AS i FROM d),
+s AS (SELECT doc_id, i, line, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS solid FROM l),
+k AS (SELECT doc_id, i, solid, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS k, count(*) OVER (PARTITION BY doc_id) AS n FROM s WHERE solid <> ''),
+a AS (SELECT doc_id, list(solid ORDER BY k) AS solid, max(n) AS n FROM k GROUP BY doc_id),
+w AS (SELECT doc_id, solid, unnest(range(greatest(n - 3, 0) + 1)) AS s FROM a),
+r AS (SELECT doc_id, s, row_number() OVER (PARTITION BY solid[s + 1:s + 3] ORDER BY doc_id, s) AS o FROM w),
+gone AS (SELECT DISTINCT k.doc_id, k.i FROM k JOIN r ON r.doc_id = k.doc_id AND r.o > 1 AND k.k BETWEEN r.s AND r.s + 2),
+kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM l WHERE NOT EXISTS (
+  SELECT 1 FROM gone WHERE gone.doc_id = l.doc_id AND gone.i = l.i) GROUP BY doc_id),
+cut AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CASE WHEN cut.n IS NULL THEN d.text ELSE coalesce(kept.text, '') END AS text,
+  coalesce(a.n, 0)::BIGINT AS n_lines, coalesce(cut.n, 0)::BIGINT AS n_removed
+FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id) LEFT JOIN a USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_mix_sources": OP2,
+    "op3_backoff_scores": OP3,
+    "op7_quality": OP7,
+    "op9_line_dedup": OP9,
+}
