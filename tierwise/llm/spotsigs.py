@@ -71,8 +71,7 @@ def with_next(docs: DataFrame, doc_id: str, columns: list[str]) -> DataFrame:
     """``docs`` with ``next_<column>`` of the next row by (doc_id, text); after the last comes the first.
 
     Rows are dealt to buckets of about ROWS neighbours: slices between quantiles of doc_id, cut evenly
-    inside. The next row is found in the bucket; only the last row of each looks up the
-    next bucket's first. Null doc_ids come first of all.
+    inside. The next row is found in the bucket, to which the next bucket's first is added. Null doc_ids come first of all.
     """
     bounds, slices = slices_of(docs.select(doc_id), doc_id)
     number = F.col(doc_id)
@@ -99,17 +98,15 @@ def with_next(docs: DataFrame, doc_id: str, columns: list[str]) -> DataFrame:
     after = buckets.select(
         "__s", "__t", F.when(inner.isNotNull(), F.struct(F.col("__s").cast("int").alias("s"), inner.alias("t"))).otherwise(follow).alias("__after")
     )
-    near = Window.partitionBy("__s", "__t").orderBy(doc_id, "text")
-    row = F.struct(*columns)
-    placed = held.withColumn("__next", F.lead(row).over(near)).withColumn("__at", F.row_number().over(near))
-    heads = placed.where("__at = 1").select(F.struct(F.col("__s").cast("int").alias("s"), F.col("__t").alias("t")).alias("__after"), row.alias("__head"))
+    near = Window.partitionBy("__s", "__t")
     plain = [F.col(c) for c in docs.columns]
-    inside = placed.where(F.col("__next").isNotNull()).select(*plain, *[F.col(f"__next.{c}").alias(f"next_{c}") for c in columns])
-    edge = (
-        placed.where(F.col("__next").isNull()).join(after, ["__s", "__t"]).join(heads, "__after")
-        .select(*plain, *[F.col(f"__head.{c}").alias(f"next_{c}") for c in columns])
-    )
-    return inside.unionByName(edge)
+    heads = held.withColumn("__at", F.row_number().over(near.orderBy(doc_id, "text"))).where("__at = 1")
+    heads = heads.select(F.struct(F.col("__s").cast("int").alias("s"), F.col("__t").alias("t")).alias("__after"), *plain)
+    # Each bucket gets the first row of the next as a guest, so that all rows are shuffled once.
+    guests = after.join(heads, "__after").select(*plain, "__s", "__t", F.lit(1).alias("__guest"))
+    full = held.select(*plain, "__s", "__t", F.lit(0).alias("__guest")).unionByName(guests)
+    row = F.lead(F.struct(*columns)).over(near.orderBy("__guest", doc_id, "text"))
+    return full.withColumn("__next", row).where("__guest = 0").select(*plain, *[F.col(f"__next.{c}").alias(f"next_{c}") for c in columns])
 
 
 def edited_prints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
