@@ -105,3 +105,14 @@ def test_scratch_needs_a_shared_folder_off_local(monkeypatch):
     with pytest.raises(RuntimeError):
         runtime.scratch_root(Session())
 
+
+
+def test_runs_without_workflow_or_duration(spark, tmp_path):
+    rows = [("a", "2024-01-01 00:00:00", d) for d in (1.0, None, None, 5.0)] + [("b", "2024-01-02 00:00:00", 3.0), (None, "2024-01-03 00:00:00", 2.0)]
+    runs = spark.createDataFrame(rows, "workflow string, ts string, duration double").withColumn("ts", F.col("ts").cast("timestamp"))
+    stats = {r["workflow"]: (r["median"], r["count"]) for r in runlog.workflow_stats(runs).collect()}
+    assert stats == {"a": (3.0, 2), "b": (3.0, 1), None: (2.0, 1)}
+    path = str(tmp_path / "runs")
+    runs.write.parquet(path)
+    assert runlog.clear_workflow(spark, path, "a")
+    assert {r["workflow"] for r in runlog.read_runs(spark, path).collect()} == {"b", None}

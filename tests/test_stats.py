@@ -57,3 +57,14 @@ def test_skewness_edges(spark):
     df = spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (None, 5.0)], "two double, flat double")
     row = df.agg(corrected_skewness(F.col("two")), corrected_skewness(F.col("flat"))).first()
     assert row[0] is None and row[1] == 0.0
+
+
+def test_infinite_values_give_one_answer_on_both_paths(spark):
+    inf, nan = math.inf, math.nan
+    rows = [(float(i), float(i), 7.0, None) for i in range(60)] + [(inf, nan, 7.0, None), (-inf, inf, 7.0, None), (-inf, 3.5, 7.0, None)]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double")
+    wanted = {c: (F.col(c), [0.0, 0.01, 0.03, 0.25, 0.5, 0.97, 0.99, 1.0]) for c in "abcd"}
+    small, large = quantiles(df, wanted), quantiles(df, wanted, one_buffer_rows=0)
+    for c in "abcd":
+        for x, y in zip(small[c], large[c]):
+            assert (x is None and y is None) or x == y or (math.isnan(x) and math.isnan(y)) or abs(x - y) < 1e-9

@@ -91,7 +91,7 @@ def quantiles(
     map-side combined shuffle of at most ``CELLS`` rows per interval) and keeps
     the cell that holds the rank, until the rank is the first or last row of its
     cell or all rows there are equal. No buffer grows with the data, and all
-    columns and probabilities share each scan. ``rows`` is the row count where
+    columns and probabilities share each scan. Infinities and NaN (largest) rank as values on either path. ``rows`` is the row count where
     the caller has it already.
     """
     if not wanted:
@@ -99,8 +99,20 @@ def quantiles(
     exprs = {n: c for n, (c, _) in wanted.items()}
     basics: dict[Any, dict[str, Any]] = {}
     if rows is None or rows > one_buffer_rows:
-        basics = per_column(df, exprs, {"n": F.count, "low": F.min, "high": F.max})
-        rows = max(b["n"] for b in basics.values())
+        finite = lambda c: F.when(~F.isnan(c) & (F.abs(c) != math.inf), c)
+        basics = per_column(
+            df,
+            exprs,
+            {
+                "all": F.count,
+                "n": lambda c: F.count(finite(c)),
+                "low": lambda c: F.min(finite(c)),
+                "high": lambda c: F.max(finite(c)),
+                "below": lambda c: F.count(F.when(c == -math.inf, 1)),
+                "nan": lambda c: F.count(F.when(F.isnan(c), 1)),
+            },
+        )
+        rows = max(b["all"] for b in basics.values())
     if rows <= one_buffer_rows:
         asked = sorted({float(p) for _, ps in wanted.values() for p in ps})
         found = per_column(df, exprs, {"q": lambda c: F.percentile(c, F.array(*[F.lit(p) for p in asked]))})
@@ -109,9 +121,19 @@ def quantiles(
             for n, (_, ps) in wanted.items()
         }
 
-    plans = {(n, p): _rank_plan(basics[n]["n"], p) for n, (_, ps) in wanted.items() for p in ps if basics[n]["n"]}
+    plans = {(n, p): _rank_plan(basics[n]["all"], p) for n, (_, ps) in wanted.items() for p in ps if basics[n]["all"]}
     ranks = {(n, k) for (n, _), (low, high, _) in plans.items() for k in (low, high)}
-    values = _values_at_ranks(df, exprs, ranks, basics)
+    # Infinities and NaN (the largest) are counted apart; only finite ranks are narrowed.
+    values: dict[tuple[Any, int], float] = {}
+    for n, k in ranks:
+        b = basics[n]
+        if k < b["below"]:
+            values[n, k] = -math.inf
+        elif k >= b["below"] + b["n"]:
+            values[n, k] = math.nan if k >= b["all"] - b["nan"] else math.inf
+    inner = {(n, k - basics[n]["below"]) for n, k in ranks if (n, k) not in values}
+    found = _values_at_ranks(df, exprs, inner, basics)
+    values |= {(n, k + basics[n]["below"]): v for (n, k), v in found.items()}
     out: dict[Any, list[float | None]] = {}
     for n, (_, ps) in wanted.items():
         out[n] = []
@@ -121,7 +143,10 @@ def quantiles(
                 continue
             low, high, part = plans[n, p]
             a, b = values[n, low], values[n, high]
-            out[n].append(a if part == 0 else a + (b - a) * part)
+            if part and not (math.isfinite(a) and math.isfinite(b)):
+                out[n].append((1 - part) * a + part * b)
+            else:
+                out[n].append(a if part == 0 else a + (b - a) * part)
     return out
 
 

@@ -136,9 +136,6 @@ SELECT id, Personality FROM raw ORDER BY md5(CAST(id AS VARCHAR) || '#42'), id L
 ORACLES["model_columns"] = f"""WITH {_ENC}
 SELECT id, {_MEASURES}, sf AS Stage_fear, dr AS Drained_after_socializing,
   sf AS Stage_fear_encoded, dr AS Drained_after_socializing_encoded, y AS label FROM e"""
-ORACLES["feature_names"] = """SELECT unnest(['Time_spent_Alone', 'Social_event_attendance', 'Going_outside',
-  'Friends_circle_size', 'Post_frequency', 'Stage_fear', 'Drained_after_socializing', 'Stage_fear_encoded',
-  'Drained_after_socializing_encoded']) AS feature, true AS is_numeric"""
 ORACLES["drop_missing"] = f"""WITH {_RAW}
 SELECT Personality, count(*) AS n FROM raw WHERE Social_event_attendance IS NOT NULL GROUP BY Personality"""
 ORACLES["threshold_class"] = f"WITH {_PRED} SELECT id, predicted FROM pred"
@@ -155,8 +152,6 @@ SELECT count(*) AS total_rows, CAST(9 AS BIGINT) AS total_columns,
   count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM raw)) AS duplicate_rows FROM raw"""
 ORACLES["duplicate_rows"] = """SELECT count(*) - (SELECT count(*) FROM
   (SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem)) AS duplicate_rows FROM lineitem"""
-ORACLES["type_checks"] = """SELECT unnest(['Time_spent_Alone', 'Social_event_attendance', 'Going_outside',
-  'Friends_circle_size', 'Post_frequency', 'Stage_fear', 'Drained_after_socializing']) AS column_name, true AS ok"""
 
 
 def _range_sql(relation: str, with_: str) -> str:

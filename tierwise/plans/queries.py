@@ -210,12 +210,6 @@ def model_columns(spark, folder):
     return df
 
 
-@query
-def feature_names(spark, folder):
-    df = gold.encode_label(encoded(spark, folder))
-    return spark.createDataFrame([(c, c in numeric_columns(df)) for c in gold.feature_names(df)], "feature string, is_numeric boolean")
-
-
 @query
 def drop_missing(spark, folder):
     return order_profile(spark, folder).where(F.col(SOCIAL).isNotNull()).groupBy("Personality").agg(F.count("*").alias("n"))
@@ -247,11 +241,6 @@ def duplicate_rows(spark, folder):
     return quality.duplicate_rows(table(spark, folder, "lineitem").select("l_orderkey", "l_linenumber"))
 
 
-@query
-def type_checks(spark, folder):
-    return quality.type_check_frame(spark, order_profile(spark, folder))
-
-
 @query
 def range_checks(spark, folder):
     return quality.range_checks(bronze.normalise_types(order_profile(spark, folder)))
@@ -402,13 +391,6 @@ def success_criteria(spark, folder):
     return reduce(DataFrame.unionByName, parts)
 
 
-@query
-def feature_families(spark, folder):
-    train = encoded(spark, folder)
-    out = silver.polynomial_features(silver.derive(train))
-    return metrics.feature_families(spark, out.columns)
-
-
 def _runs(spark, folder) -> DataFrame:
     events = table(spark, folder, "events")
     return events.select(F.col("event_type").alias("workflow"), "ts", F.col("value").alias("duration"))

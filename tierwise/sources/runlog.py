@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tierwise.operators.ordering import running_totals
-from tierwise.runtime import durable
 
 RUNS = "workflow string, ts timestamp, duration double"
 
@@ -58,8 +59,10 @@ def workflow_stats(runs: DataFrame) -> DataFrame:
     no deviation.
 
     The median is found by ranking inside slices of each workflow's range of
-    distinct durations, so one workflow may hold most of the log.
+    distinct durations, so one workflow may hold most of the log. Runs without a
+    duration do not count; a NULL workflow is a workflow of its own.
     """
+    runs = runs.where(F.col("duration").isNotNull())
     levels = runs.groupBy("workflow", "duration").agg(F.count("*").alias("n"))
     ranked = running_totals(levels, ["workflow"], "duration", ["n"])
     sizes = runs.groupBy("workflow").agg(
@@ -74,12 +77,14 @@ def workflow_stats(runs: DataFrame) -> DataFrame:
     at = lambda k: (F.col("n_before") <= k) & (k < F.col("n_before") + F.col("n"))
     # Range join on the workflow: one row of sizes per workflow.
     middle = (
-        ranked.join(sizes.select("workflow", "count"), "workflow")
+        ranked.join(
+            sizes.select(F.col("workflow").alias("__workflow"), "count"), F.col("workflow").eqNullSafe(F.col("__workflow"))
+        )
         .where(at(low) | at(high))
-        .groupBy("workflow")
+        .groupBy("__workflow")
         .agg(((F.min("duration") + F.max("duration")) / 2).alias("median"))
     )
-    return sizes.join(middle, "workflow").select("workflow", "average", "median", "min", "max", "count", "std_dev")
+    return sizes.join(middle, F.col("workflow").eqNullSafe(F.col("__workflow"))).select("workflow", "average", "median", "min", "max", "count", "std_dev")
 
 
 def estimated_durations(stats: DataFrame) -> DataFrame:
@@ -92,14 +97,28 @@ def workflows(runs: DataFrame) -> DataFrame:
 
 
 def without_workflow(runs: DataFrame, workflow: str) -> DataFrame:
-    return runs.where(F.col("workflow") != workflow)
+    """All other runs, those without a workflow too."""
+    return runs.where(~F.col("workflow").eqNullSafe(F.lit(workflow)))
 
 
 def clear_workflow(spark: SparkSession, path: str, workflow: str) -> bool:
-    """Rewrite the log without one workflow; False when it is not in it."""
+    """Rewrite the log without one workflow; False when it is not in it.
+
+    The new log is written beside the old one and takes its name when it is whole, so a failed
+    write loses nothing; the old one stays until then.
+    """
     runs = read_runs(spark, path)
     if runs.where(F.col("workflow") == workflow).isEmpty():
         return False
-    # Stored first: a table cannot be overwritten while it is being read.
-    durable(without_workflow(runs, workflow), "runs").write.mode("overwrite").parquet(path)
+    fresh, old = (f"{path.rstrip('/')}.{part}-{uuid.uuid4().hex[:8]}" for part in ("new", "old"))
+    without_workflow(runs, workflow).write.parquet(fresh)
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.rename(place, jvm.org.apache.hadoop.fs.Path(old)):
+        raise OSError(f"{path} cannot be moved")
+    if not files.rename(jvm.org.apache.hadoop.fs.Path(fresh), place):
+        files.rename(jvm.org.apache.hadoop.fs.Path(old), place)
+        raise OSError(f"{fresh} cannot be moved to {path}")
+    files.delete(jvm.org.apache.hadoop.fs.Path(old), True)
     return True
