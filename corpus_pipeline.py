@@ -54,7 +54,7 @@ STAGES = [
     ("sentencepiece", encode_pieces),
 ]
 
-# Components of near copies need XXH64 and reachability: tested against a brute-force version.
+# Components of near copies need XXH64 and reachability. The operators are tested against brute-force versions.
 ORACLE_SQL = None
 
 
