@@ -61,6 +61,24 @@ def test_lookup_paths_agree_with_a_hot_key_and_a_missing_key(spark):
     assert small[999] is None and small[0] == 0
 
 
+def test_lookup_spreads_null_and_unseen_keys(spark):
+    rows = [(i, None if i % 3 == 0 else "new" if i % 3 == 1 else f"k{i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "id bigint, k string")
+    table = spark.createDataFrame([(f"k{i}", 1, i) for i in range(2, 6000, 3)], "k string, n bigint, code int")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = lookup(df, table, "k", "n", spread="id", broadcast_rows=0)
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+        codes = {r["id"]: r["code"] for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert codes == {i: i if i % 3 == 2 else None for i in range(6000)}
+    assert len(sizes) == 4 and max(sizes) < 2 * min(sizes)
+
+
 def test_fold_overlap_sees_a_shared_id(spark):
     df = spark.createDataFrame([(1, 0), (2, 0), (3, 1), (1, 1), (4, 2)], "id bigint, fold int")
     got = {r["fold"]: (r["train_rows"], r["valid_rows"], r["overlap"], r["valid"]) for r in ordering.fold_overlap(df).collect()}
