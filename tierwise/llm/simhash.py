@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierwise.llm.components import components
+from tierwise.operators.lookup import lookup
 from tierwise.runtime import durable
 
 SHINGLE = 3
@@ -164,11 +165,14 @@ def links(unique: DataFrame, reach: int = MAX_BITS, leaf: int = LEAF, block: int
     sent = durable(unique.select("fp").mapInArrow(send, "shard int, fp bigint, home boolean"), "vp-visits")
     sizes = sent.groupBy("shard").agg(F.sum(F.col("home").cast("long")).alias("members"), F.count("*").alias("visitors"))
     # One row per shard, at most 2 ** MAX_DEPTH of them.
-    large = {r["shard"]: (-(-r["members"] // block), -(-r["visitors"] // block)) for r in sizes.where(F.col("visitors") > block).collect()}
-    rows, columns = F.lit(1), F.lit(1)
-    for shard, (m, v) in large.items():
-        rows = F.when(F.col("shard") == shard, m).otherwise(rows)
-        columns = F.when(F.col("shard") == shard, v).otherwise(columns)
+    parted = F.col("visitors") > block
+    blocks = sizes.select(
+        "shard",
+        F.when(parted, F.ceil(F.col("members") / block)).otherwise(1).cast("int").alias("rows"),
+        F.when(parted, F.ceil(F.col("visitors") / block)).otherwise(1).cast("int").alias("columns"),
+    )
+    sent = sent.join(F.broadcast(blocks), "shard")
+    rows, columns = F.greatest("rows", F.lit(1)), F.col("columns")
     spread = F.xxhash64(F.lit("block"), "fp")
     visits = sent.select(
         "shard", "fp", F.lit(False).alias("member"),
@@ -207,6 +211,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     )
     named = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
     table = labelled.join(named, "root").select("fp", "component_id")
-    return held.join(table, "fp").select(
+    table = durable(table.select("fp", F.lit(1).alias("n"), "component_id"), "fingerprint-components")
+    return lookup(held, table, "fp", "n", spread="doc_id").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
