@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierwise.llm.common import LINE_SPACE, text_keys
+from tierwise.operators.lookup import lookup
 from tierwise.runtime import durable
 
 MIN_RUN = 3
@@ -47,21 +48,28 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
     content, never with all others; overlapping windows together are the run, extended both ways.
     """
     place = F.struct("doc", "key1", "key2", "at")
-    shared = (
+    shared = durable(
         windows.groupBy("low")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
+        .agg(F.min(place).alias("first"), F.max(place).alias("last"), F.count("*").alias("n"))
         .where(~F.col("first").eqNullSafe(F.col("last")))
-        .select("low")
+        .select("low", "n", F.lit(True).alias("shared")),
+        "shared-lines",
     )
-    candidates = windows.join(shared, "low", "left_semi")
+    # A line or run of very many windows is spread over tasks.
+    candidates = lookup(windows, shared, "low", "n").where("shared").drop("shared")
     spot = F.struct("doc", "key1", "key2", "start")
-    first = (
+    first = durable(
         candidates.groupBy("run")
-        .agg(F.min(spot).alias("first"), F.max(spot).alias("last"))
+        .agg(F.min(spot).alias("first"), F.max(spot).alias("last"), F.count("*").alias("n"))
         .where(~F.col("first").eqNullSafe(F.col("last")))
-        .select("run", "first")
+        .select("run", "n", "first"),
+        "first-runs",
+    )
+    return (
+        lookup(candidates, first, "run", "n", counted=windows)
+        .where(F.col("first").isNotNull() & ~spot.eqNullSafe(F.col("first")))
+        .select("doc", "key1", "key2", "start")
     )
-    return candidates.join(first, "run").where(~spot.eqNullSafe(F.col("first"))).select("doc", "key1", "key2", "start")
 
 
 def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
