@@ -286,6 +286,31 @@ def test_spot_signatures(spark, docs, rows):
     assert sorted(have, key=str) == sorted(want, key=str)
 
 
+def test_spot_search_equals_brute_force(spark, docs, rows):
+    rng = random.Random(8)
+    near = []
+    for k in range(40):
+        w = prose(k % 7 + 300, 40 + 10 * (k % 5))
+        for _ in range(k % 4):
+            w[rng.randrange(len(w))] = "w%d" % rng.randint(0, 9)
+        near.append((100 + k, " ".join(w), "en", "s", 1))
+    every = docs.unionByName(spark.createDataFrame(near, SCHEMA)).withColumn("set", docs.lang)
+    held = [(i, frozenset(brute_spots(t))) for i, t, *_ in rows + near]
+    classes = collections.defaultdict(list)
+    for i, s in held:
+        classes[s].append(i)
+    alike = lambda a, b: 1.0 if not a | b else len(a & b) / len(a | b)
+    first = lambda ids: min((i for i in ids if i is not None), default=None)
+    want = {(i, first(ids), len(ids), alike(a, s)) for i, a in held for s, ids in classes.items() if alike(a, s) >= 0.8}
+    for limits in ({}, {"broadcast_rows": 0, "hot_share": 20}):
+        got = [tuple(r) for r in spotsigs.near_documents(every, every, **limits).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+    assert any(x < 1 for *_, x in want)
+    assert spotsigs.near_documents(every.where("doc_id % 100 = 0"), every).count() == sum(i is not None and i % 100 == 0 for i, *_ in want)
+    nothing = every.where("false")
+    assert spotsigs.near_documents(nothing, every).count() == spotsigs.near_documents(every, nothing).count() == 0
+
+
 def test_counts_follow_edits(spark, docs, rows):
     import public_tokenizers
 

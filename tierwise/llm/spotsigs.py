@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tierwise.operators.lookup import BROADCAST_ROWS, HOT_SHARE, lookup
 from tierwise.runtime import durable
 
 CHAIN = 3
@@ -139,3 +142,86 @@ def edited_prints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -
         likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"),
         likeness(F.col("spots"), F.col("next_spots")).alias("near_next"),
     )
+
+
+def length_class(size: Column, similar: float) -> Column:
+    """Partition of a set by its length: sets as alike as ``similar`` lie in the same or in neighbouring ones."""
+    width = max(math.log(1 / similar), 0.01)
+    return F.when(size == 0, F.lit(-2)).otherwise(F.floor(F.log(size.cast("double")) / width + 1e-9)).cast("int")
+
+
+def near_documents(
+    queries: DataFrame,
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    similar: float = SIMILAR,
+    broadcast_rows: int = BROADCAST_ROWS,
+    hot_share: int = HOT_SHARE,
+) -> DataFrame:
+    """(query_id, first_id, n_docs, likeness): all signature sets of ``docs`` at least ``similar`` to a query's.
+
+    Texts with equal sets are one class, named by its smallest doc_id and its number of documents;
+    a query meets its own class too. Exact: the signatures of a set are taken rarest first, and two sets as alike as
+    ``similar`` (above 0) share one of the first n - ceil(similar * n) + 1. These meet within partitions of set length;
+    pairs whose lengths rule them out are dropped before the sets are compared. Sets without signatures (null,
+    empty, wordless texts) are alike with likeness 1 and unlike all others. Queries may be any rows, also such as
+    ``docs`` lacks; rows repeated in id and text are one query. Other columns are ignored.
+    """
+    marked = lambda rows: rows.select(F.col(doc_id).alias("id"), signatures(F.col(text)).alias("spots"))
+    named = lambda rows: rows.withColumn("set", F.struct(F.xxhash64("spots"), F.xxhash64(F.lit("second"), "spots")))
+    sets = durable(
+        named(marked(docs)).groupBy("set").agg(F.min("id").alias("first_id"), F.count("*").alias("n_docs"), F.first("spots").alias("spots")),
+        "signature-sets",
+    )
+    asked = durable(named(marked(queries)).distinct(), "query-sets")
+    wanted = asked.groupBy("set").agg(F.first("spots").alias("spots"))
+    counts = durable(sets.select(F.explode("spots").alias("sig")).groupBy("sig").agg(F.count("*").alias("n")), "signature-counts")
+
+    def prefixes(rows: DataFrame) -> DataFrame:
+        """(set, size, sig): the rarest signatures of each set, as many as a partner must share one of."""
+        each = rows.select("set", F.size("spots").alias("size"), F.explode("spots").alias("sig"))
+        table = counts.select("sig", "n", F.col("n").alias("often"))
+        found = lookup(each, table, "sig", "n", broadcast_rows=broadcast_rows, hot_share=hot_share)
+        ranked = found.groupBy("set", "size").agg(
+            F.array_sort(F.collect_list(F.struct(F.coalesce("often", F.lit(0)).alias("often"), "sig"))).alias("rare")
+        )
+        need = (F.col("size") - F.ceil(similar * F.col("size") - 1e-9) + 1).cast("int")
+        some = ranked.select("set", "size", F.explode(F.transform(F.slice("rare", 1, need), lambda r: r["sig"])).alias("sig"))
+        none = rows.where(F.size("spots") == 0).select("set", F.lit(0).alias("size"), F.lit(0).alias("sig"))
+        return some.unionByName(none)
+
+    size = F.col("size")
+    index = durable(prefixes(sets).withColumn("part", length_class(size, similar)), "signature-index")
+    own = length_class(size, similar)
+    asking = durable(
+        prefixes(wanted).select(
+            F.col("set").alias("asker"),
+            size.alias("asker_size"),
+            "sig",
+            F.explode(F.when(size == 0, F.array(own)).otherwise(F.array(own - 1, own, own + 1))).alias("part"),
+        ),
+        "asked-signatures",
+    )
+    # A common signature's sets are spread over salted copies of its questions.
+    rows = index.groupBy("sig", "part").agg(F.count("*").alias("held"))
+    limit = max(1.0, index.count() / hot_share)
+    hot = rows.where(F.col("held") > limit).select("sig", "part", F.ceil(F.col("held") / limit).cast("int").alias("copies"))
+    # Fewer than hot_share rows.
+    salt = lambda frame: frame.join(F.broadcast(hot), ["sig", "part"], "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+    held = salt(index).withColumn("salt", F.pmod(F.xxhash64("set"), "copies").cast("int")).drop("copies")
+    put = salt(asking).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("copies") - 1))).drop("copies")
+    pairs = (
+        put.join(held, ["sig", "part", "salt"])
+        .where(F.least("size", "asker_size") >= similar * F.greatest("size", "asker_size") - 1e-9)
+        .select("asker", "set")
+        .distinct()
+    )
+    left = pairs.join(wanted.select(F.col("set").alias("asker"), F.col("spots").alias("asker_spots")), "asker")
+    near = (
+        left.join(sets, "set")
+        .withColumn("likeness", likeness(F.col("asker_spots"), F.col("spots")))
+        .where(F.col("likeness") >= similar)
+        .select("asker", "first_id", "n_docs", "likeness")
+    )
+    return asked.select(F.col("id").alias("query_id"), F.col("set").alias("asker")).join(near, "asker").drop("asker")
