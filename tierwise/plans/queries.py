@@ -831,18 +831,31 @@ def fold_leakage(spark, folder):
 QUICK = {"iterations": 10, "num_leaves": 16}
 
 
+TRAINING = [*MEASURES, FEAR, DRAINED]
+
+
+def _folded_rows(spark, folder) -> DataFrame:
+    """(id, fold, label, features as they came): nothing is learned yet."""
+    df = encoded(spark, folder)
+    folded = ordering.stratified_folds(df, "Personality")
+    return stored(folded.select("id", "fold", gold.label_value(folded).alias("label"), *TRAINING))
+
+
+def _cleaned(train: DataFrame, other: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both with limits and fills of the training rows."""
+    fitted = gold.fit_clean(train.select(*TRAINING))
+    return gold.clean(train, fitted), gold.clean(other, fitted), TRAINING
+
+
 def _training_rows(spark, folder) -> tuple[DataFrame, list[str]]:
-    df = stored(encoded(spark, folder))
-    cleaned = gold.clean(df, gold.fit_clean(df))
-    names = [*MEASURES, FEAR, DRAINED]
-    folded = ordering.stratified_folds(cleaned, "Personality")
-    return stored(folded.select("id", "fold", gold.label_value(folded).alias("label"), *names)), names
+    """All rows, cleaned by limits of all: for models that aren't scored on rows held out."""
+    df = _folded_rows(spark, folder)
+    return stored(_cleaned(df, df)[0]), TRAINING
 
 
 @query
 def boosted_model(spark, folder):
-    df, names = _training_rows(spark, folder)
-    train, valid = crossval.fold_parts(df, 0)
+    train, valid, names = _cleaned(*crossval.fold_parts(_folded_rows(spark, folder), 0))
     return boosting.BoostedModel.fit(train, names, QUICK).score(valid).select("id", "label", "p", "predicted")
 
 
@@ -857,14 +870,12 @@ def model_round_trip(spark, folder):
 
 @query
 def cross_validation(spark, folder):
-    df, names = _training_rows(spark, folder)
-    return crossval.train_cv(df, names, QUICK).oof
+    return crossval.train_cv(_folded_rows(spark, folder), [], QUICK, prepare=_cleaned).oof
 
 
 @query
 def cross_validation_summary(spark, folder):
-    df, names = _training_rows(spark, folder)
-    return crossval.train_cv(df, names, QUICK).summary().drop("training_time")
+    return crossval.train_cv(_folded_rows(spark, folder), [], QUICK, prepare=_cleaned).summary().drop("training_time")
 
 
 @query
@@ -903,16 +914,14 @@ def parameter_importance(spark, folder):
 
 @query
 def learning_curve(spark, folder):
-    df, names = _training_rows(spark, folder)
-    train, valid = crossval.fold_parts(df, 0)
+    train, valid, names = _cleaned(*crossval.fold_parts(_folded_rows(spark, folder), 0))
     return boosting.learning_curve(boosting.BoostedModel.fit(train, names, QUICK), train, valid)
 
 
 @query
 def batch_scoring(spark, folder):
     """Fit on train, score test, in submission form."""
-    df, names = _training_rows(spark, folder)
-    train, test = split_profile(df)
+    train, test, names = _cleaned(*split_profile(_folded_rows(spark, folder)))
     return results.submission(boosting.BoostedModel.fit(train, names, QUICK).score(test), "p")
 
 
