@@ -381,6 +381,33 @@ def test_compact_windows_are_all_minima():
     assert where.tolist() == [int(s + np.argmin(values[s : s + 46] & ~passages.PLACES)) for s in range(255)]
 
 
+def test_compact_windows_of_many_texts_at_once(monkeypatch):
+    texts = ["", "a b", " ".join(prose(7, 49)), " ".join(prose(8, 50)), " ".join(prose(9, 700)), " ".join(prose(9, 700)), " ".join(prose(10, 51))]
+    owner, shingles = passages.shingle_hashes(texts)
+    assert np.bincount(owner, minlength=len(texts)).tolist() == [0, 0, 45, 46, 696, 696, 47]
+    got = collections.Counter()
+    key, place, first, last = passages.compact_windows(owner, shingles)
+    for k, p, a, b in zip(key.tolist(), place, first, last):
+        assert owner[a] == owner[p] == owner[b + 45] and b <= p <= a + 45
+        begin = np.searchsorted(owner, owner[a])
+        for s in range(a, b + 1):
+            got[int(owner[a]), k, int(s - begin), int(p - begin)] += 1
+    alone = collections.Counter()
+    for t, text in enumerate(texts):
+        for k, p, a, b in zip(*(x.tolist() for x in passages.compact_windows(*passages.shingle_hashes([text])))):
+            alone.update((t, k, s, p) for s in range(a, b + 1))
+    assert got == alone and len(alone) == 4 * (1 + 651 + 651 + 2)
+
+
+def test_passage_likeness_equals_brute_force():
+    rng = random.Random(6)
+    left = [" ".join(prose(k, 50)) for k in range(60)] + ["", "a b", "x x x x x x x x", "a b c d e f"]
+    right = [" ".join(rng.choice(["q", w]) if rng.random() < 0.05 * (k % 3) else w for w in t.split()) for k, t in enumerate(left[:60])] + ["", "", "x x x x x", "b"]
+    sets = lambda t: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)}
+    want = [len(sets(a) & sets(b)) / len(sets(a) | sets(b)) if sets(a) | sets(b) else 1.0 for a, b in zip(left, right)]
+    assert passages.alike(left, right).tolist() == want and passages.alike([], []).tolist() == []
+
+
 @pytest.mark.parametrize("run", [quality.quality, simhash.near_duplicates, mixing.mix, spotsigs.edited_prints, ngrams.scores, passages.repeated_passages, linededup.drop_repeated_lines, secrets.secret_spans])
 def test_empty_table(empty, run):
     assert run(empty).count() == 0
