@@ -408,6 +408,29 @@ def test_passage_likeness_equals_brute_force():
     assert passages.alike(left, right).tolist() == want and passages.alike([], []).tolist() == []
 
 
+def test_likeness_at_every_start_equals_brute_force():
+    rng = random.Random(12)
+    left = [" ".join(prose(k, 50 + 7 * k)) for k in range(12)] + ["", "a b", " ".join(["x", "y"] * 60)]
+    right = [" ".join("q" if rng.random() < 0.02 else w for w in t.split()) for t in left]
+    length = passages.SPAN + passages.SHINGLE - 1
+    cut = lambda t, s: " ".join(t.split()[s : s + length])
+    want = [(k, s, passages.alike([cut(a, s)], [cut(b, s)])[0]) for k, (a, b) in enumerate(zip(left, right)) for s in range(len(a.split()) - length + 1)]
+    assert list(zip(*(x.tolist() for x in passages.alike_at_starts(left, right)))) == want
+    assert [len(x) for x in passages.alike_at_starts([], [])] == [0, 0, 0]
+
+
+def test_passages_are_compared_at_inner_starts(spark):
+    """One word of 50 is replaced: only few starts are alike, seldom the ends of a range of candidates."""
+    texts = []
+    for k in range(60):
+        shared = prose(5000 + k, 50)
+        changed = shared[:25] + ["other"] + shared[26:]
+        texts += [" ".join(prose(6000 + 2 * k, 70) + shared + prose(7000 + k, 70)), " ".join(prose(6001 + 2 * k, 60) + changed + prose(8000 + k, 90))]
+    got = {r.doc_id: r for r in passages.repeated_passages(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    linked = [got[2 * k].class_id == got[2 * k + 1].class_id for k in range(60)]
+    assert sum(linked) >= 50
+
+
 @pytest.mark.parametrize("run", [quality.quality, simhash.near_duplicates, mixing.mix, spotsigs.edited_prints, ngrams.scores, passages.repeated_passages, linededup.drop_repeated_lines, secrets.secret_spans])
 def test_empty_table(empty, run):
     assert run(empty).count() == 0
