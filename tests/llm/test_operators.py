@@ -431,6 +431,21 @@ def test_passages_are_compared_at_inner_starts(spark):
     assert sum(linked) >= 50
 
 
+def test_passages_of_near_copies_reach_their_original(spark):
+    """Copies with one replaced word are seldom alike to each other, whichever of them owns a signature."""
+    rng, each = random.Random(30), []
+    for g in range(3):
+        original = prose(40000 + g, 60)
+        each.append([original] + [original[:i] + [f"v{rng.randint(0, 10**9)}"] + original[i + 1 :] for i in (rng.randrange(60) for _ in range(30))])
+    texts = [" ".join(w) for group in each for w in group]
+    got = {r.doc_id: r.class_id for r in passages.repeated_passages(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    pairs = [(31 * g, 31 * g + k) for g in range(3) for k in range(1, 31)]
+    length = passages.SPAN + passages.SHINGLE - 1
+    cut = lambda i: [" ".join(texts[i].split()[s : s + length]) for s in range(60 - length + 1)]
+    true = [(a, b) for a, b in pairs if (passages.alike(cut(a), cut(b)) >= passages.SIMILAR).any()]
+    assert sum(got[a] == got[b] for a, b in true) >= 0.95 * len(true) > 60
+
+
 @pytest.mark.parametrize("run", [quality.quality, simhash.near_duplicates, mixing.mix, spotsigs.edited_prints, ngrams.scores, passages.repeated_passages, linededup.drop_repeated_lines, secrets.secret_spans])
 def test_empty_table(empty, run):
     assert run(empty).count() == 0
