@@ -256,6 +256,28 @@ def test_secrets_structure():
     assert secrets.scan(None) == secrets.scan("") == []
 
 
+def test_secrets_with_headers_encrypted_and_wrapped():
+    kinds = lambda t: [k for k, _, _ in secrets.scan(t) if k not in secrets.BASE]
+    wrap = lambda x, n=40: "\n".join(x[i : i + n] for i in range(0, len(x), n))
+    tlv = lambda tag, x: bytes([tag, len(x)]) + x
+    sealed = lambda oid: tlv(0x30, tlv(0x30, tlv(6, bytes.fromhex(oid)) + b"\x05\0") + tlv(4, bytes(range(40))))
+    pbes2, sha256 = "2a864886f70d01050d", "608648016503040201"
+    text = lambda x: base64.b64encode(x).decode()
+    frame = lambda head, x: f"-----BEGIN RSA PRIVATE KEY-----\n{head}{wrap(text(x))}\n-----END RSA PRIVATE KEY-----"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: DES-EDE3-CBC,0123456789ABCDEF\n\n"
+    assert kinds(frame(head, bytes(range(80)))) == ["pem"] and kinds(frame(head, bytes(range(81)))) == []
+    assert kinds(frame("Comment: mine\n\n", key_der())) == ["pem"] and kinds(frame("Comment: mine\n\n", bytes(80))) == []
+    assert kinds(text(sealed(pbes2))) == ["der"] and kinds(text(sealed(sha256))) == []
+    for key in (key_der(), sealed(pbes2)):
+        for after in ("", "\nnext line", "\r\n"):
+            whole = wrap(text(key)) + after
+            (kind, start, end), = [s for s in secrets.scan("x " + whole) if s[0] == "der"]
+            assert (kind, start, end) == ("der", 2, 2 + len(wrap(text(key))))
+    part = lambda x: len(x).to_bytes(4, "big") + x
+    ssh = b"openssh-key-v1\0" + part(b"none") * 2 + part(b"") + (1).to_bytes(4, "big") + part(bytes(51)) + part(bytes(136))
+    assert kinds(text(ssh)) == ["openssh"] == kinds(wrap(text(ssh), 70)) == kinds(wrap(text(ssh), 70) + "\nword") and kinds(wrap(text(ssh[:-9]), 70)) == []
+
+
 def brute_spots(text, chain=3):
     w = [x for x in "".join(c if c.isalnum() else " " for c in (text or "").lower()).split()]
     common = set(spotsigs.ANCHORS)

@@ -23,11 +23,17 @@ ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST = 12, 18, 16
 ACCESS = re.compile(rf"AKIA[A-Z0-9]{{{ACCESS_LEAST - 4},}}")
 HEX = re.compile(rf"[0-9a-f]{{{HEX_LEAST},}}")
 # Candidates: what base64 or hex of a DER sequence, an OpenSSH container or a JSON object begins with.
-PEM = re.compile(r"-----BEGIN ([A-Z0-9 ]{1,64})-----([A-Za-z0-9+/=\s]+)-----END \1-----")
+PEM = re.compile(
+    r"-----BEGIN ([A-Z0-9 ]{1,64})-----\s*+((?:[A-Za-z][A-Za-z0-9-]*:[^\n]*\n(?:[ \t]+[^\n]*\n)*+)*+)([A-Za-z0-9+/=\s]+)-----END \1-----"
+)
+SEALED = re.compile(r"^Proc-Type:[ \t]*4,[ \t]*ENCRYPTED[\s\S]*^DEK-Info:[ \t]*[A-Za-z0-9-]+,[ \t]*(?:[0-9A-Fa-f]{2}){8,}\s*$", re.MULTILINE)
 DER64 = re.compile(r"(?<![A-Za-z0-9+/_-])M[A-P][A-Za-z0-9+/_-]{26,}={0,2}")
 DERHEX = re.compile(r"(?<![0-9A-Fa-f])30[0-9A-Fa-f]{38,}(?![0-9A-Fa-f])")
 OPENSSH = re.compile(r"(?<![A-Za-z0-9+/])b3BlbnNzaC1rZXktdjE[A-Za-z0-9+/]{20,}={0,2}")
 TOKEN = re.compile(r"(?<![A-Za-z0-9_-])(e[wy][A-Za-z0-9_-]+)\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]+(?:\r?\n[A-Za-z0-9+/_-]+)+={0,2}")
+# Object ids of password-based encryption: PKCS#5 and PKCS#12.
+PASSWORD_BASED = (bytes.fromhex("2a864886f70d0105"), bytes.fromhex("2a864886f70d010c01"))
 DEEPEST = 16
 
 
@@ -68,14 +74,21 @@ def der_items(data: bytes, depth: int = 0) -> list[tuple[int, bytes]] | None:
 
 
 def is_key(data: bytes | None) -> bool:
-    """A DER private key: one sequence of a small version number and key material, all lengths fitting."""
+    """A DER private key, all lengths fitting: one sequence of a small version number and key material, or of
+    a password-based algorithm and what it encrypts."""
     if not data or data[0] != 0x30:
         return False
     outer = der_items(data)
     if not outer or len(outer) != 1:
         return False
     inner = der_items(outer[0][1])
-    return bool(inner) and len(inner) >= 2 and inner[0][0] == 2 and len(inner[0][1]) == 1 and inner[0][1][0] <= 3
+    if not inner or len(inner) < 2:
+        return False
+    if inner[0][0] == 0x30:
+        algorithm = der_items(inner[0][1])
+        named = bool(algorithm) and algorithm[0][0] == 6 and algorithm[0][1].startswith(PASSWORD_BASED)
+        return named and len(inner) == 2 and inner[1][0] == 4 and len(inner[1][1]) > 0
+    return inner[0][0] == 2 and len(inner[0][1]) == 1 and inner[0][1][0] <= 3
 
 
 def is_openssh(data: bytes | None) -> bool:
@@ -96,6 +109,51 @@ def is_openssh(data: bytes | None) -> bool:
     return at == len(data) and seen >= 5
 
 
+def der_size(data: bytes) -> int:
+    """Bytes of the sequence that ``data`` begins with; 0 if what follows its length can't be a key."""
+    width = data[1] & 127 if data[1] >= 128 else 0
+    head = data[2 + width : 5 + width]
+    if width > 4 or (head[:1] != b"\x30" and not (head[:2] == b"\x02\x01" and head[2:] <= b"\x03")):
+        return 0
+    return 2 + width + (int.from_bytes(data[2 : 2 + width], "big") if width else data[1])
+
+
+def openssh_size(data: bytes) -> int:
+    """Bytes of the container that ``data`` begins with: magic, three strings, a count, so many public keys and the private ones."""
+    at, left, keys = 15, 3, None
+    while left:
+        if at + 4 > len(data):
+            return 0
+        number = int.from_bytes(data[at : at + 4], "big")
+        at, left = at + 4 + number, left - 1
+        if not left and keys is None:
+            keys = int.from_bytes(data[at : at + 4], "big")
+            at, left = at + 4, keys + 1
+    return at
+
+
+def wrapped_end(text: str, start: int, size_of, holds) -> int | None:
+    """Where base64 that goes on over single line breaks from ``start`` ends, if its own lengths say so and ``holds``."""
+    first = unbase64(text[start : start + 24])
+    if not first or (size_of is der_size and not der_size(first)):
+        return None
+    run = WRAPPED.match(text, start)
+    if not run:
+        return None
+    letters = [m.start() for m in re.finditer(r"[^\s=]", run[0])]
+    solid = "".join(run[0][i] for i in letters)
+    size = size_of(unbase64(solid[: len(solid) // 4 * 4]) or b"\0\0")
+    need = -(-size * 4 // 3)
+    if not 0 < need <= len(letters):
+        return None
+    end = letters[need - 1] + 1
+    if end < len(run[0]) and run[0][end] not in "\r\n=":
+        return None
+    if not holds(unbase64(solid[:need])):
+        return None
+    return start + end + (len(run[0][end:]) - len(run[0][end:].lstrip("=")))
+
+
 def is_token_header(segment: str) -> bool:
     raw = unbase64(segment)
     try:
@@ -115,17 +173,28 @@ def scan(text: str | None) -> list[tuple[str, int, int]]:
         out += [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= ASSIGN_LEAST]
     out += [("access", *m.span()) for m in ACCESS.finditer(text)]
     out += [("hex", *m.span()) for m in HEX.finditer(text)]
+    framed = []
     if "-----BEGIN " in text:
         for m in PEM.finditer(text):
-            raw = unbase64(m[2])
-            if is_key(raw) or is_openssh(raw):
+            raw = unbase64(m[3])
+            # What an encrypted body holds can't be seen: whole cipher blocks.
+            if is_key(raw) or is_openssh(raw) or (raw and len(raw) % 8 == 0 and SEALED.search(m[2])):
                 out.append(("pem", *m.span()))
-    out += [("der", *m.span()) for m in DER64.finditer(text) if is_key(unbase64(m[0]))]
+                framed.append(m.span())
+
+    def encoded(kind, pattern, size_of, holds):
+        for m in pattern.finditer(text):
+            if holds(unbase64(m[0])):
+                out.append((kind, *m.span()))
+            elif not any(a <= m.start() < b for a, b in framed) and (end := wrapped_end(text, m.start(), size_of, holds)):
+                out.append((kind, m.start(), end))
+
+    encoded("der", DER64, der_size, is_key)
     for m in DERHEX.finditer(text):
         if len(m[0]) % 2 == 0 and is_key(bytes.fromhex(m[0])):
             out.append(("hexder", *m.span()))
     if "b3BlbnNzaC1rZXktdjE" in text:
-        out += [("openssh", *m.span()) for m in OPENSSH.finditer(text) if is_openssh(unbase64(m[0]))]
+        encoded("openssh", OPENSSH, openssh_size, is_openssh)
     out += [("jwt", *m.span()) for m in TOKEN.finditer(text) if is_token_header(m[1])]
     return sorted(out, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
