@@ -91,9 +91,34 @@ SELECT d.doc_id, CASE WHEN cut.n IS NULL THEN d.text ELSE coalesce(kept.text, ''
 FROM d LEFT JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id) LEFT JOIN a USING (doc_id)
 """
 
+OP11 = r"""
+WITH d AS (SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, row_number() OVER () AS row,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+o AS (SELECT lang, source, row, unnest(t) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS n FROM o GROUP BY lang, term HAVING count(DISTINCT row) >= 3),
+v AS (SELECT lang, count(*) AS v, sum(n)::HUGEINT AS n FROM k GROUP BY lang),
+c AS (SELECT lang, source, term, count(*) AS n FROM o SEMI JOIN k USING (lang, term) GROUP BY lang, source, term),
+s AS (SELECT lang, source, coalesce(any_value(x.n), 0)::HUGEINT AS n FROM (SELECT DISTINCT lang, source FROM d)
+      LEFT JOIN (SELECT lang, source, sum(n) AS n FROM c GROUP BY lang, source) x USING (lang, source) GROUP BY lang, source),
+full_p AS (SELECT lang, source, term, coalesce(c.n, 0) AS n, k.n AS all_n, v.n AS lang_n, v.v,
+    1 + 1000000000::HUGEINT * (coalesce(c.n, 0) + 1) // (s.n + v.v) AS p
+  FROM s JOIN v USING (lang) JOIN k USING (lang) LEFT JOIN c USING (lang, source, term)),
+t AS (SELECT lang, source, term, p, 1 + 1000000000::HUGEINT * (all_n + 1) // (lang_n + v) AS q FROM full_p WHERE n > 0),
+tr AS (SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM t WHERE p > q),
+trr AS (SELECT *, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item) AS rank FROM tr),
+pv AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+  FROM full_p a JOIN full_p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+pr AS (SELECT a.lang, a.source, b.source AS item, coalesce(pv.value, 0) AS value FROM s a JOIN s b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pv ON pv.lang = a.lang AND pv.source = a.source AND pv.item = b.source)
+SELECT lang, source, 'term' AS part, item, value::BIGINT AS value, rank::INT AS rank FROM trr WHERE rank <= 200
+UNION ALL
+SELECT lang, source, 'pair', item, value::BIGINT, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT FROM pr
+"""
+
 ORACLES: dict[str, str] = {
     "op2_mix_sources": OP2,
     "op3_backoff_scores": OP3,
     "op7_quality": OP7,
     "op9_line_dedup": OP9,
+    "op11_source_divergence": OP11,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import edits, linededup, mixing, ngrams, passages, pieces, quality, secrets, simhash, spotsigs
+from tierwise.llm import divergence, edits, linededup, mixing, ngrams, passages, pieces, quality, secrets, simhash, spotsigs
 from tierwise.llm.common import documents
 
 
@@ -101,6 +101,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -114,5 +118,6 @@ QUERIES = {
         op8_passages,
         op9_line_dedup,
         op10_token_counts,
+        op11_source_divergence,
     )
 }
