@@ -115,10 +115,27 @@ UNION ALL
 SELECT lang, source, 'pair', item, value::BIGINT, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, item)::INT FROM pr
 """
 
+OP12 = r"""
+WITH d AS (SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+b AS (SELECT row_number() OVER () AS item, item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM benchmark),
+s AS (SELECT count(*) AS n, sum(len(t))::BIGINT AS l FROM d WHERE len(t) > 0),
+o AS (SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(t) AS term FROM d) GROUP BY row, term),
+w AS (SELECT term, floor(1000 * ln((2 * s.n + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM o, s GROUP BY term, s.n),
+m AS (SELECT row, doc_id, 25 + (75 * len(t) * s.n) // s.l AS m FROM d, s WHERE len(t) > 0),
+q AS (SELECT item, term, count(*) AS k FROM (SELECT item, unnest(t) AS term FROM b) GROUP BY item, term),
+r AS (SELECT item, m.row, m.doc_id, sum(k * w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN o USING (term) JOIN m USING (row) GROUP BY item, m.row, m.doc_id),
+f AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank FROM r WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM f JOIN b USING (item) WHERE rank <= 10
+"""
+
 ORACLES: dict[str, str] = {
     "op2_mix_sources": OP2,
     "op3_backoff_scores": OP3,
     "op7_quality": OP7,
     "op9_line_dedup": OP9,
     "op11_source_divergence": OP11,
+    "op12_ranked_search": OP12,
 }

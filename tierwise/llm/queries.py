@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import divergence, edits, linededup, mixing, ngrams, passages, pieces, quality, secrets, simhash, spotsigs
+from tierwise.llm import divergence, edits, linededup, mixing, ngrams, passages, pieces, quality, ranked, secrets, simhash, spotsigs
 from tierwise.llm.common import documents
 
 
@@ -105,6 +105,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.source_divergence(documents(spark, sf_dir))
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.best_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -119,5 +123,6 @@ QUERIES = {
         op9_line_dedup,
         op10_token_counts,
         op11_source_divergence,
+        op12_ranked_search,
     )
 }
