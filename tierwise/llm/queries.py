@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierwise.llm import divergence, edits, linededup, mixing, ngrams, passages, pieces, quality, ranked, secrets, simhash, spotsigs
+from tierwise.llm import divergence, edits, linededup, mixing, ngrams, passages, pieces, quality, ranked, rules, secrets, simhash, spotsigs
 from tierwise.llm.common import documents
 
 
@@ -109,6 +109,10 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked.best_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -124,5 +128,6 @@ QUERIES = {
         op10_token_counts,
         op11_source_divergence,
         op12_ranked_search,
+        op13_quality_rules,
     )
 }
