@@ -42,9 +42,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def with_statistics(df: DataFrame, text: str = "__text") -> DataFrame:
-    """``df`` with a struct ``__stats`` of numbers about each whole text; null counts as empty.
+    """``df`` with numbers about each whole text, named ``__s_<statistic>``; null counts as empty.
 
-    Shares lie in 0..1 and are 0 where nothing is there to share.
+    Shares lie in 0..1 and are 0 where nothing is there to share. They are columns of their own:
+    a struct's fields would be worked out again wherever a rule reads one.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
     ready = df.withColumns({"__whole": whole, "__words": words(F.col(text)), "__lines": F.filter(F.split(whole, "\n"), lambda x: x != "")})
@@ -66,7 +67,7 @@ def with_statistics(df: DataFrame, text: str = "__text") -> DataFrame:
         "line_words": part(n, F.size("__lines")),
         **{f"{name}_chars": part(chars - F.length(F.translate("__whole", members, "")), chars) for name, members in CLASSES},
     }
-    return ready.withColumn("__stats", F.struct(*[columns[c].alias(c) for c in STATISTICS])).drop("__whole", "__words", "__lines")
+    return ready.withColumns({f"__s_{c}": columns[c] for c in STATISTICS}).drop("__whole", "__words", "__lines")
 
 
 @dataclass(frozen=True)
@@ -78,7 +79,7 @@ class Rule:
     def column(self) -> Column:
         out = F.lit(True)
         for name, above, most in self.ranges:
-            value = F.col(f"__stats.{name}")
+            value = F.col(f"__s_{name}")
             if above is not None:
                 out = out & (value > above)
             if most is not None:
@@ -122,7 +123,7 @@ class RuleModel:
     weights: tuple[tuple[Rule, float], ...]
 
     def score(self) -> Column:
-        """Probability of label 1 as one expression over ``__stats``."""
+        """Probability of label 1 as one expression over the statistics."""
         total = F.lit(self.bias)
         for rule, weight in self.weights:
             total = total + F.when(rule.column(), F.lit(weight)).otherwise(0.0)
@@ -130,7 +131,7 @@ class RuleModel:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str, most: int) -> DataFrame:
-    """(__key, __label, __stats) of at most about ``most`` labelled documents that may be learned from.
+    """(__key, __label, statistics) of at most about ``most`` labelled documents that may be learned from.
 
     An id with several labels takes the smallest, and one with several texts the row of the
     smallest statistics, so an id counts once however many rows carry it.
@@ -149,9 +150,10 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, doc_id: str, text: str,
         known = known.where(F.pmod(F.xxhash64(F.lit("rules"), "__key"), F.lit(1 << 40)) < int(rate * (1 << 40)))
     rows = docs.select(F.col(f"`{doc_id}`").alias("__id"), F.col(f"`{text}`").alias("__text"))
     rows = rows.join(F.broadcast(known), F.col("__id") == F.col("__key"))  # at most ``most`` ids
-    stats = with_statistics(rows).groupBy("__key").agg(F.first("__label").alias("__label"), F.min("__stats").alias("__stats"))
+    numbers = F.struct(*[f"__s_{c}" for c in STATISTICS])
+    stats = with_statistics(rows).groupBy("__key").agg(F.first("__label").alias("__label"), F.min(numbers).alias("__stats"))
     # Bounded, and in one order, so that a fit repeats.
-    return durable(stats.repartition(1).sortWithinPartitions("__key"), "rule-sample")
+    return durable(stats.repartition(1).sortWithinPartitions("__key").select("__key", "__label", "__stats.*"), "rule-sample")
 
 
 def fit(
@@ -167,7 +169,8 @@ def fit(
     n, ones = rows.agg(F.count("*"), F.sum("__label")).first()
     if not n or ones in (0, n):
         return RuleModel(0.0 if not n else (10.0 if ones else -10.0), ())
-    ready = rows.select("__label", "__stats", array_to_vector(F.array(*[f"__stats.{c}" for c in STATISTICS])).alias("__vector"))
+    columns = [f"__s_{c}" for c in STATISTICS]
+    ready = rows.select("__label", *columns, array_to_vector(F.array(*columns)).alias("__vector"))
     forest = RandomForestClassifier(
         featuresCol="__vector", labelCol="__label", numTrees=trees, maxDepth=depth, subsamplingRate=0.7,
         minInstancesPerNode=max(2, n // 1000), seed=seed,
@@ -177,7 +180,7 @@ def fit(
         return RuleModel(math.log(ones / (n - ones)), ())
     marked = ready.select("__label", array_to_vector(F.array(*[r.column().cast("double") for r in rules])).alias("__rules"))
     lasso = LogisticRegression(
-        featuresCol="__rules", labelCol="__label", elasticNetParam=1.0, regParam=penalty, standardization=False, maxIter=200, tol=1e-7
+        featuresCol="__rules", labelCol="__label", elasticNetParam=1.0, regParam=penalty, standardization=False, maxIter=100, tol=1e-6
     ).fit(durable(marked, "rule-marks"))
     weights = tuple((rule, float(w)) for rule, w in zip(rules, lasso.coefficients.toArray()) if w)
     return RuleModel(float(lasso.intercept), weights)
