@@ -32,12 +32,14 @@ def lookup(
     rows; NULL and keys that the table lacks are spread alike. ``weight``, the column
     of rows each key had when the table was made, is left out of the result.
     ``counted`` has the same keys as ``df`` where that is cheaper to count.
-    ``table`` should be stored: it is counted first.
+    ``table`` should be stored: it is counted first. A stream can't be counted: beyond the bound
+    its rows meet the table by key as they are.
     """
     extra = [c for c in table.columns if c not in (key, weight)]
     right = table.select(F.col(key).alias("__key"), *extra)
-    if table.count() <= broadcast_rows:
-        joined = df.join(F.broadcast(right), F.col(key).eqNullSafe(F.col("__key")), "left")
+    small = table.count() <= broadcast_rows
+    if small or df.isStreaming:
+        joined = df.join(F.broadcast(right) if small else right, F.col(key).eqNullSafe(F.col("__key")), "left")
         return joined.select(*[F.col(c) for c in df.columns], *extra)
 
     held = durable((df if counted is None else counted).groupBy(F.col(key).alias("__hot")).agg(F.count("*").alias("__n")), "key-counts")

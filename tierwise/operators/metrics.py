@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierwise.functions.ordered import entries_at_most
 from tierwise.operators.ordering import running_totals
 
 
@@ -174,3 +175,47 @@ def feature_families(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     rows = [(c, family) for c in names for family in families_of(c)]
     frame = spark.createDataFrame(rows, "feature string, family string")
     return frame.groupBy("family").agg(F.count("*").alias("features"))
+
+
+def score_histogram(df: DataFrame, label: str, score: str, cuts: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., cell, rows, ones): rows between the ascending cut points, cell k holding scores above
+    k of them. Histograms of parts of a table add up to that of the whole."""
+    cell = entries_at_most(F.lit([float(c) for c in cuts]), F.col(score).cast("double"), len(cuts), below=True)
+    known = df.where(F.col(label).isNotNull() & F.col(score).isNotNull())
+    return known.groupBy(*by, cell.alias("cell")).agg(F.count("*").alias("rows"), F.sum(F.col(label).cast("long")).alias("ones"))
+
+
+def threshold_table(df: DataFrame, label: str, score: str, cuts: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+    """(by..., threshold, accuracy, predicted_ones) when a score above the threshold counts as 1.
+
+    One pass over the rows whatever the number of thresholds: the true and false ones above each
+    are sums over the cells above it. Rows without score or label are left out.
+    """
+    ordered = sorted({float(c) for c in cuts})
+    cells = score_histogram(df, label, score, ordered, by)
+    sums = cells.groupBy(*by).agg(
+        F.sum("rows").alias("all_rows"),
+        F.sum("ones").alias("all_ones"),
+        # At most one entry per cut point and one more.
+        F.map_from_entries(F.collect_list(F.struct("cell", F.struct("rows", "ones")))).alias("held"),
+    )
+    lines = sums.select(*by, "all_rows", "all_ones", "held", F.posexplode(F.lit(ordered)).alias("at", "threshold"))
+
+    def above(part: str) -> Column:
+        cells_above = F.sequence(F.col("at") + 1, F.lit(len(ordered)))
+        return F.aggregate(cells_above, F.lit(0).cast("long"), lambda n, k: n + F.coalesce(F.try_element_at("held", k)[part], F.lit(0)))
+
+    ready = lines.select(*by, "threshold", "all_rows", "all_ones", above("rows").alias("rows"), above("ones").alias("ones"))
+    right = F.col("ones") + (F.col("all_rows") - F.col("all_ones")) - (F.col("rows") - F.col("ones"))
+    return ready.select(*by, "threshold", (right / F.col("all_rows")).alias("accuracy"), F.col("rows").alias("predicted_ones"))
+
+
+# The searched thresholds, 0.10 to 0.89.
+THRESHOLDS = [i / 100 for i in range(10, 90)]
+
+
+def best_threshold(df: DataFrame, label: str, score: str, cuts: Sequence[float] | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """(by..., threshold, accuracy, predicted_ones) of the most accurate threshold, the lowest on ties."""
+    table = threshold_table(df, label, score, cuts if cuts is not None else THRESHOLDS, by)
+    best = F.max_by(F.struct("threshold", "accuracy", "predicted_ones"), F.struct("accuracy", -F.col("threshold")))
+    return table.groupBy(*by).agg(best.alias("b")).select(*by, "b.*")

@@ -9,7 +9,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 
 from tierwise.functions.rows import with_row_moments
-from tierwise.operators import bronze, encode, gold, isolation, neighbours, outliers, quality, silver
+from tierwise.operators import bronze, encode, gold, isolation, neighbours, outliers, quality, ranks, silver
 from tierwise.runtime import durable
 from tierwise.sources.layers import LayerStore
 from tierwise.spec import DEFAULT, FeatureSpec, numeric_columns, text_columns
@@ -121,6 +121,7 @@ def fit_enhanced(
     fitted["modes"] = encode.fit_modes(out, [c for c in text_columns(out) if c != spec.label])
     filled = _filled(out, fitted, spec)
     fitted["zscores"] = encode.fit_key_zscores(filled, spec)
+    fitted["ranks"] = ranks.fit_ranks(filled, spec.present(filled, encode.key_columns(spec)))
     return fitted, _described(filled, fitted, spec)
 
 
@@ -140,7 +141,9 @@ def _filled(df: DataFrame, fitted: Mapping[str, Any], spec: FeatureSpec) -> Data
 
 def _described(filled: DataFrame, fitted: Mapping[str, Any], spec: FeatureSpec) -> DataFrame:
     out = encode.key_zscores(with_row_moments(filled, fitted["numeric"]), fitted["zscores"])
-    return encode.mode_flags(encode.key_percentiles(out, spec), fitted["modes"])
+    keys = spec.present(out, encode.key_columns(spec))
+    placed = ranks.FrozenRanks(fitted["ranks"]).add(out, keys, id_col=spec.id)
+    return encode.mode_flags(placed, fitted["modes"])
 
 
 def apply_enhanced(df: DataFrame, fitted: Mapping[str, Any], spec: FeatureSpec = DEFAULT) -> DataFrame:

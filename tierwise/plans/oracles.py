@@ -615,3 +615,115 @@ b AS (SELECT Personality, sf, dr, {", ".join(f"CASE WHEN {k} IS NULL THEN NULL E
 SELECT Personality, count(*) AS n, round(avg(coalesce(s, 0) + coalesce(o, 0) + coalesce(f, 0)), 6) AS avg_extrovert_score,
   round(avg(CASE WHEN t > 0 THEN s / (t + 1e-8) END), 6) AS avg_social_ratio,
   CAST(sum(CAST(sf IS NULL AND dr IS NULL AS INTEGER)) AS BIGINT) AS both_missing FROM b GROUP BY Personality"""
+
+# ---- frozen ranks, bins, rare values ----
+
+
+def _frozen_rank(source: str, name: str, x: str) -> str:
+    """Rank table of train values x: (v, r), ties at their mean rank."""
+    return f"""{name} AS (SELECT x AS v, (sum(n) OVER (ORDER BY x) - n + (n + 1) / 2.0) / sum(n) OVER () AS r, sum(n) OVER () AS rows
+  FROM (SELECT {x} AS x, count(*) AS n FROM {source} WHERE id % 4 <> 0 AND {x} IS NOT NULL GROUP BY 1))"""
+
+
+def _looked_up(k: str) -> str:
+    return f"SELECT id, CASE WHEN {k} IS NOT NULL THEN coalesce(r, 0) END AS r, rows FROM q ASOF LEFT JOIN r{k} ON q.{k} >= r{k}.v"
+
+
+ORACLES["percent_rank_unseen"] = f"""WITH {_ENC}, {", ".join(_frozen_rank("e", "r" + k, k) for k in "stf")},
+q AS (SELECT * FROM e WHERE id % 4 = 0), {", ".join(f"l{k} AS ({_looked_up(k)})" for k in "stf")}
+SELECT q.id, round(ls.r, 8) AS Social_event_attendance_percentile, round(lt.r, 8) AS Time_spent_Alone_percentile,
+  round(lf.r, 8) AS Friends_circle_size_percentile FROM q JOIN ls USING (id) JOIN lt USING (id) JOIN lf USING (id)"""
+ORACLES["percent_rank_unseen_prices"] = f"""WITH e AS (SELECT o_orderkey AS id, o_totalprice AS o FROM orders), {_frozen_rank("e", "ro", "o")},
+q AS (SELECT * FROM e WHERE id % 4 = 0), l AS ({_looked_up("o")}) SELECT id, round(r, 8) AS price_percentile FROM l"""
+
+# Acklam's rational approximation of the normal quantile (fixed values).
+_GAUSS = """
+CREATE_MIDDLE AS (SELECT id, k, share, CASE
+  WHEN share IS NULL THEN NULL
+  WHEN share < 0.02425 THEN ((((((-7.784894002430293e-03 * rl + -3.223964580411365e-01) * rl + -2.400758277161838e00) * rl + -2.549732539343734e00) * rl
+    + 4.374664141464968e00) * rl + 2.938163982698783e00)
+    / ((((7.784695709041462e-03 * rl + 3.224671290700398e-01) * rl + 2.445134137142996e00) * rl + 3.754408661907416e00) * rl + 1.0))
+  WHEN share > 0.97575 THEN -((((((-7.784894002430293e-03 * rh + -3.223964580411365e-01) * rh + -2.400758277161838e00) * rh + -2.549732539343734e00) * rh
+    + 4.374664141464968e00) * rh + 2.938163982698783e00)
+    / ((((7.784695709041462e-03 * rh + 3.224671290700398e-01) * rh + 2.445134137142996e00) * rh + 3.754408661907416e00) * rh + 1.0))
+  ELSE (((((-3.969683028665376e01 * s + 2.209460984245205e02) * s + -2.759285104469687e02) * s + 1.383577518672690e02) * s + -3.066479806614716e01) * s
+    + 2.506628277459239e00) * c
+    / (((((-5.447609879822406e01 * s + 1.615858368580409e02) * s + -1.556989798598866e02) * s + 6.680131188771972e01) * s + -1.328068155288572e01) * s + 1.0)
+  END AS z
+  FROM (SELECT *, share - 0.5 AS c, (share - 0.5) * (share - 0.5) AS s, sqrt(-2 * ln(share)) AS rl, sqrt(-2 * ln(1 - share)) AS rh FROM shares))""".replace("CREATE_MIDDLE", "zs")
+_SKEWED = {k: v for k, v in _NAMES.items() if k != "t"}
+ORACLES["rank_gauss"] = f"""WITH {_ENC}, {", ".join(_frozen_rank("e", "r" + k, k) for k in _SKEWED)},
+q AS (SELECT * FROM e), {", ".join(f"l{k} AS ({_looked_up(k)})" for k in _SKEWED)},
+tops AS ({" UNION ALL ".join(f"SELECT '{k}' AS k, max(rows) AS n FROM r{k}" for k in _SKEWED)}),
+every AS ({" UNION ALL ".join(f"SELECT id, '{k}' AS k, r FROM l{k}" for k in _SKEWED)}),
+shares AS (SELECT id, k, CASE WHEN r IS NOT NULL THEN greatest(least(r - 0.5 / n, 1 - 0.5 / n), 0.5 / n) END AS share FROM every JOIN tops USING (k)), {_GAUSS}
+SELECT id, {", ".join(f"round(max(z) FILTER (k = '{k}'), 6) AS {v}_gauss" for k, v in _SKEWED.items())} FROM zs GROUP BY id"""
+
+def _binned(k: str, x: str) -> str:
+    return f"CAST(CASE WHEN {x} IS NULL THEN -1 ELSE len(list_filter(list_distinct({k}q), lambda c: c < {x})) END AS INTEGER) AS {_NAMES[k]}_bin"
+
+
+_TENTHS = "[0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]"
+ORACLES["quantile_bins"] = f"""WITH {_ENC},
+x AS (SELECT id, t, s, f, p, CASE WHEN id % 7 = 0 THEN 'NaN'::DOUBLE WHEN id % 11 = 0 THEN 'Infinity'::DOUBLE WHEN id % 13 = 0 THEN '-Infinity'::DOUBLE ELSE o END AS o FROM e),
+qs AS (SELECT {", ".join(f"quantile_cont({k}, {_TENTHS}) AS {k}q" for k in "tsfp")},
+  quantile_cont(CASE WHEN isfinite(o) THEN o END, {_TENTHS}) AS oq FROM x WHERE id % 4 <> 0)
+SELECT id, {", ".join(_binned(k, k) for k in "tsfp")}, {_binned("o", "o")} FROM x CROSS JOIN qs"""
+ORACLES["robust_scaling"] = f"""WITH {_ENC},
+qs AS (SELECT {", ".join(f"quantile_cont({k}, 0.25) AS {k}1, quantile_cont({k}, 0.5) AS {k}2, quantile_cont({k}, 0.75) AS {k}3" for k in _NAMES)} FROM e WHERE id % 4 <> 0)
+SELECT id, {", ".join(f"round(CASE WHEN {k} IS NOT NULL THEN least(greatest(({k} - {k}2) / ({k}3 - {k}1), -3), 3) END, 6) AS {v}_robust" for k, v in _NAMES.items())}
+FROM e CROSS JOIN qs"""
+ORACLES["rare_categories"] = """WITH l AS (SELECT l_orderkey AS id, CAST(l_partkey AS VARCHAR) AS part, l_returnflag AS flag FROM lineitem),
+fp AS (SELECT part FROM l WHERE id % 4 <> 0 GROUP BY part HAVING count(*) >= 25),
+ff AS (SELECT flag FROM l WHERE id % 4 <> 0 GROUP BY flag HAVING count(*) >= 25)
+SELECT coalesce(fp.part, '__rare__') AS part_grouped, coalesce(ff.flag, '__rare__') AS flag_grouped, count(*) AS n, CAST(sum(id) AS BIGINT) AS id_sum
+FROM l LEFT JOIN fp USING (part) LEFT JOIN ff USING (flag) GROUP BY ALL"""
+
+# ---- pairs, drift, thresholds, submissions, experiments ----
+_PARTS = ["basic_features", "participation_features", "drain_features", "communication_features", "interaction_features", "polynomial_features"]
+_SILVER = f"""silver AS (SELECT * FROM ({ORACLES[_PARTS[0]]}) {" ".join(f"JOIN ({ORACLES[n]}) USING (id)" for n in _PARTS[1:])})"""
+# The second table of a long join repeats the first; gaps leave with the unpivoting.
+ORACLES["correlated_pairs"] = f"""WITH {_SILVER},
+l AS (UNPIVOT (SELECT id, CAST(COLUMNS(* EXCLUDE (id)) AS DOUBLE) FROM silver) ON COLUMNS(* EXCLUDE (id)) INTO NAME name VALUE x),
+c AS (SELECT a.name AS l, b.name AS r, count(*) AS pairs, corr(a.x, b.x) AS v FROM l a JOIN l b ON a.id = b.id AND a.name < b.name GROUP BY a.name, b.name)
+SELECT l AS left, r AS right, pairs, round(v, 4) AS r FROM c WHERE NOT isnan(v) AND abs(v) > 0.95"""
+_SHIFTED = f"""{_RAW},
+u AS (SELECT id, coalesce(Stage_fear = 'Yes', false) AS urgent, {", ".join(f"{v} AS {k}" for k, v in _NAMES.items() if k != "f")},
+  CASE WHEN Stage_fear = 'Yes' THEN Friends_circle_size * 2 ELSE Friends_circle_size END AS f, Stage_fear, Drained_after_socializing, Personality FROM raw)"""
+ORACLES["drift_report"] = f"""WITH {_SHIFTED},
+n AS ({" UNION ALL ".join(f"SELECT '{v}' AS column_name, urgent, {k} AS x FROM u" for k, v in _NAMES.items())}),
+m AS (SELECT column_name, avg(x) FILTER (NOT urgent) AS a, avg(x) FILTER (urgent) AS b,
+  1 - count(x) FILTER (NOT urgent) / count(*) FILTER (NOT urgent) AS ga, 1 - count(x) FILTER (urgent) / count(*) FILTER (urgent) AS gb FROM n GROUP BY column_name),
+c AS ({" UNION ALL ".join(f"SELECT '{v}' AS column_name, urgent, {v} AS value FROM u" for v in ("Stage_fear", "Drained_after_socializing", "Personality"))}),
+g AS (SELECT column_name, value, count(*) FILTER (NOT urgent) AS na, count(*) FILTER (urgent) AS nb FROM c WHERE value IS NOT NULL GROUP BY ALL)
+SELECT column_name, 'mean_shift' AS finding, NULL::VARCHAR AS value, round(a, 6) AS train_value, round(b, 6) AS other_value FROM m WHERE abs(b - a) > 0.1 * abs(a)
+UNION ALL SELECT column_name, 'missing_shift', NULL, round(ga, 6), round(gb, 6) FROM m WHERE abs(ga - gb) > 0.1
+UNION ALL SELECT column_name, 'new_category', value, NULL, nb::DOUBLE FROM g WHERE na = 0
+UNION ALL SELECT column_name, 'lost_category', value, na::DOUBLE, NULL FROM g WHERE nb = 0"""
+_CUTS = "[" + ", ".join(f"{i / 100}::DOUBLE" for i in range(10, 90)) + "]"
+_THRESHOLDS = f"""th AS (SELECT unnest({_CUTS}) AS threshold),
+ta AS (SELECT fold, threshold, avg(CASE WHEN (p > threshold)::INT = label THEN 1.0 ELSE 0.0 END) AS accuracy,
+  count(*) FILTER (p > threshold) AS predicted_ones FROM fp CROSS JOIN th GROUP BY fold, threshold)"""
+ORACLES["threshold_search"] = f"""WITH {_PRED}, th AS (SELECT unnest({_CUTS}) AS threshold)
+SELECT threshold, round(avg(CASE WHEN (p > threshold)::INT = label THEN 1.0 ELSE 0.0 END), 6) AS accuracy,
+  count(*) FILTER (p > threshold) AS predicted_ones FROM pred CROSS JOIN th GROUP BY threshold"""
+ORACLES["best_fold_threshold"] = f"""WITH {_PRED}, {_THRESHOLDS},
+r AS (SELECT *, row_number() OVER (PARTITION BY fold ORDER BY round(accuracy, 12) DESC, threshold) AS r FROM ta)
+SELECT fold, threshold, round(accuracy, 6) AS accuracy, predicted_ones FROM r WHERE r = 1"""
+ORACLES["submission_faults"] = f"""WITH {_PRED},
+s0 AS (SELECT CASE WHEN id % 1000 = 5 THEN -id WHEN id % 1000 <> 7 THEN id END AS id, CASE WHEN id % 500 = 9 THEN 'Ambivert' ELSE Personality END AS label,
+  CASE WHEN id % 700 = 1 THEN p + 2 ELSE p END AS p FROM pred WHERE id % 1000 <> 3),
+s AS (SELECT * FROM s0 UNION ALL SELECT * FROM s0 WHERE id % 900 = 11),
+g AS (SELECT id, count(*) AS n FROM s GROUP BY id)
+SELECT 'unexpected_column' AS fault, NULL::VARCHAR AS id, 'comment' AS value, 1::BIGINT AS n
+UNION ALL SELECT 'missing_id', id::VARCHAR, NULL, 1 FROM raw WHERE id NOT IN (SELECT id FROM g WHERE id IS NOT NULL)
+UNION ALL SELECT 'unexpected_id', id::VARCHAR, NULL, n FROM g WHERE id NOT IN (SELECT id FROM raw)
+UNION ALL SELECT 'duplicate_id', id::VARCHAR, NULL, n FROM g WHERE id IS NOT NULL AND n > 1
+UNION ALL SELECT 'null_id', NULL, NULL, n FROM g WHERE id IS NULL
+UNION ALL SELECT 'bad_label', id::VARCHAR, label, 1 FROM s WHERE label NOT IN ('Extrovert', 'Introvert')
+UNION ALL SELECT 'bad_probability', id::VARCHAR, round(p * 100)::BIGINT::VARCHAR, 1 FROM s WHERE p > 1"""
+ORACLES["experiment_top_runs"] = """WITH g AS (SELECT c_nationkey AS k, avg(c_acctbal) AS m FROM customer GROUP BY 1),
+r AS (SELECT printf('run-%02d', k) AS run, printf('group-%d', k % 3) AS name, CASE WHEN k % 4 <> 0 THEN round(m, 4) ELSE 0.0 END AS value FROM g),
+o AS (SELECT row_number() OVER (ORDER BY value DESC, run) AS rank, * FROM r) SELECT rank::INT AS rank, run, name, value FROM o WHERE rank <= 20"""
+ORACLES["experiment_comparison"] = """WITH g AS (SELECT o_orderstatus AS name, o_orderpriority, round(avg(o_totalprice), 2) AS v FROM orders GROUP BY ALL)
+SELECT name, count(*) AS runs, round(avg(v), 2) AS mean_value, round(max(v), 2) AS best_value FROM g GROUP BY name"""

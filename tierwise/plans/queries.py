@@ -12,7 +12,10 @@ from tierwise.functions import rows
 from tierwise.functions.columns import finite, zero_if_missing
 from tierwise.models import boosting, crossval, search
 from tierwise.operators import (
+    binning,
     bronze,
+    correlation,
+    drift,
     encode,
     gold,
     isolation,
@@ -21,12 +24,13 @@ from tierwise.operators import (
     ordering,
     outliers,
     quality,
+    ranks,
     silver,
     stats,
 )
 from tierwise.plans import layers
 from tierwise.runtime import durable, scratch_root
-from tierwise.sources import results, runlog
+from tierwise.sources import experiments, results, runlog
 from tierwise.sources.layers import LayerStore
 from tierwise.sources.profile import order_profile, split_profile, table
 from tierwise.spec import DEFAULT, DRAINED, FEAR, numeric_columns
@@ -939,3 +943,152 @@ def first_slice(spark, folder):
             F.sum("both_missing").alias("both_missing"),
         )
     )
+
+
+# ---- frozen ranks, bins, rare values ----------------------------------------
+
+
+@query
+def percent_rank_unseen(spark, folder):
+    """Ranks learned on train rows, looked up for test rows."""
+    train, test = split_profile(stored(encoded(spark, folder)))
+    columns = encode.key_columns()
+    frozen = ranks.FrozenRanks(ranks.fit_ranks(train, columns))
+    return rounded(frozen.add(test.select("id", *columns), columns, id_col="id").select("id", *[f"{c}_percentile" for c in columns]), 8)
+
+
+@query
+def percent_rank_unseen_prices(spark, folder):
+    """As above for a column of many different values, in many slices."""
+    orders = table(spark, folder, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("price"))
+    train, test = split_profile(orders)
+    frozen = ranks.FrozenRanks(ranks.fit_ranks(train, ["price"]))
+    return rounded(frozen.add(test, ["price"], id_col="id").select("id", "price_percentile"), 8)
+
+
+@query
+def rank_gauss(spark, folder):
+    """Normal values at the ranks of the skewed measures, learned on train rows, for all rows."""
+    df = stored(encoded(spark, folder))
+    train, _ = split_profile(df)
+    columns = ranks.skewed_columns(train, MEASURES)
+    frozen = ranks.FrozenRanks(ranks.fit_ranks(train, columns))
+    return rounded(frozen.gauss(df.select("id", *columns), columns, id_col="id").select("id", *[f"{c}_gauss" for c in columns]))
+
+
+@query
+def quantile_bins(spark, folder):
+    """Ten bins of the measures with odd numbers in one of them, edges of train rows."""
+    df = stored(bronze.encode_yes_no(_with_odd_numbers(order_profile(spark, folder))))
+    whole = split_profile(bronze.normalise_types(df))[0]
+    out = binning.bin_columns(df, binning.fit_bins(whole, MEASURES))
+    return out.select("id", *[f"{c}_bin" for c in MEASURES])
+
+
+@query
+def robust_scaling(spark, folder):
+    df = stored(encoded(spark, folder))
+    out = binning.robust_scale(df, binning.fit_robust(split_profile(df)[0], MEASURES), limit=3.0)
+    return rounded(out.select("id", *[f"{c}_robust" for c in MEASURES]))
+
+
+@query
+def rare_categories(spark, folder):
+    """Parts and suppliers of few train lines become one bucket; so do those train never had."""
+    lines = table(spark, folder, "lineitem").select(
+        F.col("l_orderkey").alias("id"), "l_linenumber", F.col("l_partkey").alias("part"), F.col("l_returnflag").alias("flag")
+    )
+    frequent = binning.fit_frequent(split_profile(lines)[0], ["part", "flag"], least=25)
+    out = binning.group_rare(lines, frequent, ["part", "flag"], id_col="id")
+    return out.groupBy("part_grouped", "flag_grouped").agg(F.count("*").alias("n"), F.sum("id").alias("id_sum"))
+
+
+# ---- pairs, drift, thresholds, submissions, experiments ---------------------
+
+
+def _all_silver(spark, folder) -> tuple[DataFrame, list[str]]:
+    """Every derived silver column by id, and their names."""
+    df = stored(encoded(spark, folder))
+    out = layers.apply_silver(df, layers.fit_silver(df))
+    return out, [c for c in out.columns if c not in df.columns]
+
+
+@query
+def correlated_pairs(spark, folder):
+    """All pairs of derived silver columns beyond 0.95; roundings keep clear of the limit itself."""
+    out, names = _all_silver(spark, folder)
+    found = correlation.correlated_pairs(stored(out.select(*names)), sorted(names))
+    return found.select("left", "right", "pairs", F.round("r", 4).alias("r"))
+
+
+@query
+def drift_report(spark, folder):
+    """Urgent orders against the others: categories, means and gaps differ between them."""
+    profile = stored(order_profile(spark, folder).withColumn(FRIENDS, F.when(F.col(FEAR) == "Yes", F.col(FRIENDS) * 2).otherwise(F.col(FRIENDS))))
+    urgent = F.coalesce(F.col(FEAR) == "Yes", F.lit(False))
+    return rounded(drift.drift_report(profile.where(~urgent), profile.where(urgent), MEASURES, [FEAR, DRAINED, "Personality"]))
+
+
+@query
+def threshold_search(spark, folder):
+    """Accuracy at each of 80 thresholds, from one pass."""
+    return rounded(metrics.threshold_table(predictions(spark, folder), "label", "p", metrics.THRESHOLDS))
+
+
+@query
+def best_fold_threshold(spark, folder):
+    """The most accurate threshold of each fold."""
+    found = metrics.best_threshold(folded_predictions(spark, folder), "label", "p", by=["fold"])
+    return rounded(found)
+
+
+@query
+def submission_faults(spark, folder):
+    """Each kind of fault, planted in a submission of all orders."""
+    rows = order_profile(spark, folder).select("id")
+    scored = predictions(spark, folder).where(F.col("id") % 1000 != 3)
+    sent = scored.select(
+        F.when(F.col("id") % 1000 == 5, -F.col("id")).when(F.col("id") % 1000 != 7, F.col("id")).alias("id"),
+        F.when(F.col("id") % 500 == 9, "Ambivert").otherwise(F.col("Personality")).alias("Personality"),
+        F.when(F.col("id") % 700 == 1, F.col("p") + 2).otherwise(F.col("p")).alias("p"),
+        F.lit(0).alias("comment"),
+    )
+    sent = sent.unionByName(sent.where(F.col("id") % 900 == 11))
+    return rounded_text(results.submission_faults(stored(sent), rows, probability="p"))
+
+
+def rounded_text(faults: DataFrame) -> DataFrame:
+    """Numbers among the values as hundredths, so that engines spell them alike."""
+    number = F.col("fault") == "bad_probability"
+    return faults.withColumn("value", F.when(number, F.round(F.col("value").try_cast("double") * 100).cast("long").cast("string")).otherwise(F.col("value")))
+
+
+@query
+def experiment_top_runs(spark, folder):
+    """One run per nation: metrics of its customers, one of which most runs lack."""
+    customers = table(spark, folder, "customer")
+    groups = customers.groupBy("c_nationkey").agg(F.avg("c_acctbal").alias("mean"), F.count("*").alias("n"))
+    runs = groups.select(
+        F.format_string("run-%02d", "c_nationkey").alias("run"), F.format_string("group-%d", F.col("c_nationkey") % 3).alias("name"), F.lit("2024-01-01").alias("started"),
+        F.create_map(F.lit("nation"), F.col("c_nationkey").cast("string")).alias("params"),
+        F.map_filter(F.create_map(F.lit("cv_mean"), F.round("mean", 4), F.lit("rows"), F.col("n").cast("double")), lambda k, v: (k != "cv_mean") | (F.col("c_nationkey") % 4 != 0)).alias("metrics"),
+        F.array(F.lit("c_acctbal")).alias("features"), F.lit(None).cast("string").alias("notes"),
+    )
+    path = f"{durable_folder(spark)}/experiments"
+    experiments.append(runs.where("c_nationkey < 12"), path)
+    experiments.append(runs.where("c_nationkey >= 12"), path)
+    return experiments.top_runs(experiments.read(spark, path), "cv_mean", 20)
+
+
+@query
+def experiment_comparison(spark, folder):
+    """Runs of one parameter per ship mode of order status, read back and compared by name."""
+    orders = table(spark, folder, "orders")
+    runs = orders.groupBy("o_orderstatus", "o_orderpriority").agg(F.round(F.avg("o_totalprice"), 2).alias("m")).select(
+        F.concat_ws("/", "o_orderstatus", "o_orderpriority").alias("run"), F.col("o_orderstatus").alias("name"), F.lit("2024-01-01").alias("started"),
+        F.create_map(F.lit("priority"), F.col("o_orderpriority")).alias("params"), F.create_map(F.lit("price"), F.col("m")).alias("metrics"),
+        F.lit([]).cast("array<string>").alias("features"), F.lit(None).cast("string").alias("notes"),
+    )
+    path = f"{durable_folder(spark)}/experiments"
+    experiments.append(runs, path)
+    return rounded(experiments.compare(experiments.read(spark, path), "price"), 2)

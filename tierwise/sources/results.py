@@ -88,3 +88,46 @@ def search_record(spark: SparkSession, best_params: Mapping[str, float], best_sc
     now = datetime.now(timezone.utc).isoformat()
     row = (now, {k: float(v) for k, v in best_params.items()}, float(best_score), int(n_trials), float(seconds))
     return spark.createDataFrame([row], SEARCH_RECORD)
+
+
+def submission_faults(submitted: DataFrame, wanted: DataFrame, spec: FeatureSpec = DEFAULT, probability: str | None = None) -> DataFrame:
+    """(fault, id, value, n): what is wrong with a submission for the ids of ``wanted``; no row if nothing.
+
+    ``missing_column`` and ``unexpected_column`` name a column as value; ``missing_id`` is wanted and not
+    submitted, ``unexpected_id`` the other way round, ``duplicate_id`` submitted ``n`` times,
+    ``null_id`` submitted without id ``n`` times; ``bad_label`` is neither of the two classes or a gap,
+    ``bad_probability`` a gap or outside 0..1. Ids are compared as text. Both anti-joins see each id
+    once, so neither copies nor gaps make a hot key.
+    """
+    id_col, label = spec.id, spec.label
+    expected = [id_col, label] + ([probability] if probability else [])
+    spark = submitted.sparkSession
+    odd = [("missing_column", None, c, 1) for c in expected if c not in submitted.columns]
+    odd += [("unexpected_column", None, c, 1) for c in submitted.columns if c not in expected]
+    schema = "fault string, id string, value string, n bigint"
+    found = spark.createDataFrame(odd, schema)
+
+    def fault(name: str, df: DataFrame, value=None, n=None) -> DataFrame:
+        return df.select(
+            F.lit(name).alias("fault"), "id", (F.lit(None) if value is None else value).cast("string").alias("value"),
+            (F.lit(1) if n is None else n).cast("long").alias("n"),
+        )
+
+    if id_col in submitted.columns:
+        given = submitted.groupBy(F.col(f"`{id_col}`").cast("string").alias("id")).agg(F.count("*").alias("n"))
+        asked = wanted.select(F.col(f"`{id_col}`").cast("string").alias("id")).where(F.col("id").isNotNull()).distinct()
+        some = given.where(F.col("id").isNotNull())
+        found = (
+            found.unionByName(fault("missing_id", asked.join(some.select("id"), "id", "left_anti")))
+            .unionByName(fault("unexpected_id", some.join(asked, "id", "left_anti"), n=F.col("n")))
+            .unionByName(fault("duplicate_id", some.where(F.col("n") > 1), n=F.col("n")))
+            .unionByName(fault("null_id", given.where(F.col("id").isNull()), n=F.col("n")))
+        )
+        ids = submitted.select(F.col(f"`{id_col}`").cast("string").alias("id"), *[F.col(f"`{c}`") for c in (label, probability) if c in submitted.columns and c])
+        if label in submitted.columns:
+            known = F.coalesce(F.col(f"`{label}`").cast("string").isin(spec.positive, spec.negative), F.lit(False))
+            found = found.unionByName(fault("bad_label", ids.where(~known), F.col(f"`{label}`")))
+        if probability and probability in submitted.columns:
+            p = F.col(f"`{probability}`").cast("double")
+            found = found.unionByName(fault("bad_probability", ids.where(~F.coalesce((p >= 0) & (p <= 1), F.lit(False))), p))
+    return found
