@@ -199,7 +199,7 @@ def threshold_table(df: DataFrame, label: str, score: str, cuts: Sequence[float]
         # At most one entry per cut point and one more.
         F.map_from_entries(F.collect_list(F.struct("cell", F.struct("rows", "ones")))).alias("held"),
     )
-    lines = sums.select(*by, "all_rows", "all_ones", "held", F.posexplode(F.lit(ordered)).alias("at", "threshold"))
+    lines = sums.where(F.col("all_rows") > 0).select(*by, "all_rows", "all_ones", "held", F.posexplode(F.lit(ordered)).alias("at", "threshold"))
 
     def above(part: str) -> Column:
         cells_above = F.sequence(F.col("at") + 1, F.lit(len(ordered)))
