@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from typing import Any
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from tierwise.functions.columns import zero_if_missing
 from tierwise.functions.rows import with_row_moments
 from tierwise.operators import bronze, encode, gold, isolation, neighbours, outliers, quality, ranks, silver
 from tierwise.runtime import durable
@@ -153,11 +155,22 @@ def apply_enhanced(df: DataFrame, fitted: Mapping[str, Any], spec: FeatureSpec =
     return _described(_filled(out, fitted, spec), fitted, spec) if fitted["statistics"] else out
 
 
+def evened_out(train: DataFrame, spec: FeatureSpec = DEFAULT, **kw: Any) -> DataFrame:
+    """Numeric columns of the training rows, gaps as 0, and the label code, with interpolated rows
+    until every class is as large as the largest. For training rows only."""
+    code = gold.encode_label(train, spec) if spec.label_code not in train.columns else train
+    names = [c for c in _measurable(code, spec)]
+    whole = durable(code.select(spec.id, spec.label_code, *[zero_if_missing(F.col(c)).alias(c) for c in names]), "evened-input")
+    return neighbours.oversample(whole, spec.label_code, names, **kw)
+
+
 def enhanced_silver(
-    train: DataFrame, others: Sequence[DataFrame] = (), spec: FeatureSpec = DEFAULT, **switches: Any
+    train: DataFrame, others: Sequence[DataFrame] = (), spec: FeatureSpec = DEFAULT, oversampled: bool = False, **switches: Any
 ) -> list[DataFrame]:
     """One call from (raw or bronze) rows to enhanced features: learned on
-    ``train``, applied to it and to every other table, same columns for all."""
+    ``train``, applied to it and to every other table, same columns for all.
+
+    With ``oversampled`` the training rows come evened out (see ``evened_out``)."""
 
     def base(df: DataFrame) -> DataFrame:
         texts = [c for c in spec.present(df, spec.yes_no) if c in text_columns(df)]
@@ -168,4 +181,24 @@ def enhanced_silver(
     tables = [durable(apply_silver(df, basic, spec), "base-silver") for df in ready]
     switches.setdefault("target_columns", spec.yes_no)
     fitted, enhanced = fit_enhanced(tables[0], spec, **switches)
-    return [enhanced, *[apply_enhanced(df, fitted, spec) for df in tables[1:]]]
+    first = evened_out(enhanced, spec) if oversampled else enhanced
+    return [first, *[apply_enhanced(df, fitted, spec) for df in tables[1:]]]
+
+
+def enhanced_prepare(features: Sequence[str] | None = None, spec: FeatureSpec = DEFAULT, **switches: Any):
+    """A ``prepare`` step for cross-validation and search: enhanced features learned on the training
+    rows of each fold. Rows need the raw columns, the label's text or code, ``fold`` and ``label``."""
+
+    def prepare(train: DataFrame, valid: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+        held = ["fold", "label"]
+        a, b = enhanced_silver(train.drop(*held), [valid.drop(*held)], spec, **switches)
+        fitted = gold.fit_clean(a.drop(*[c for c in spec.not_features if c in a.columns and c != spec.id]), spec)
+        names = [c for c in (features or _measurable(a, spec)) if c in fitted]
+
+        def back(made: DataFrame, rows: DataFrame) -> DataFrame:
+            ready = gold.clean(made.select(spec.id, *names), {c: fitted[c] for c in names})
+            return ready.join(rows.select(spec.id, *held), spec.id)
+
+        return back(a, train), back(b, valid), names
+
+    return prepare

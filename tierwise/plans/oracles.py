@@ -727,3 +727,25 @@ r AS (SELECT printf('run-%02d', k) AS run, printf('group-%d', k % 3) AS name, CA
 o AS (SELECT row_number() OVER (ORDER BY value DESC, run) AS rank, * FROM r) SELECT rank::INT AS rank, run, name, value FROM o WHERE rank <= 20"""
 ORACLES["experiment_comparison"] = """WITH g AS (SELECT o_orderstatus AS name, o_orderpriority, round(avg(o_totalprice), 2) AS v FROM orders GROUP BY ALL)
 SELECT name, count(*) AS runs, round(avg(v), 2) AS mean_value, round(max(v), 2) AS best_value FROM g GROUP BY name"""
+
+# ---- all columns of the layers, known answers of training ----
+ORACLES["silver_all_columns"] = f"WITH {_SILVER} SELECT * FROM silver"
+_TRAIN_SILVER = _SILVER.replace("SELECT max(s) AS smax FROM e)", "SELECT max(s) AS smax FROM e WHERE id % 4 <> 0)")
+ORACLES["enhanced_one_call"] = f"""WITH {_TRAIN_SILVER}, te AS ({ORACLES["target_encode"].replace("WHERE c.id % 4 = 0)", ")").replace("Stage_fear AS category", "CAST(" + _YES_NO.format(c="Stage_fear").replace("1.0", "'1.0'").replace("0.0", "'0.0'") + " AS VARCHAR) AS category").replace("Drained_after_socializing AS category", "Drained_after_socializing AS category")})
+SELECT * FROM silver JOIN te USING (id)"""
+ORACLES["enhanced_oversampled"] = f"""WITH {_ENC}, c AS (SELECT y, count(*) AS n FROM e WHERE id % 4 <> 0 GROUP BY y)
+SELECT y AS Personality_encoded, max(n) OVER () AS n, CAST(0 AS BIGINT) AS gaps FROM c"""
+ORACLES["gold_all_columns"] = f"""WITH {_SILVER},
+l AS (UNPIVOT (SELECT id, CAST(COLUMNS(* EXCLUDE (id)) AS DOUBLE) FROM silver) ON COLUMNS(* EXCLUDE (id)) INTO NAME feature VALUE x),
+lim AS (SELECT feature, {_bounds("x")} FROM l WHERE id % 4 <> 0 GROUP BY feature),
+every AS (SELECT id, feature FROM (SELECT id FROM silver) CROSS JOIN (SELECT feature FROM lim)),
+g AS (SELECT id, feature, {_clean("x", "least(xlo, xhi)", "greatest(xlo, xhi)", "xmd")} AS x FROM every JOIN lim USING (feature) LEFT JOIN l USING (id, feature))
+SELECT feature, count(x) AS n, round(sign(min(x)) * ln(1 + abs(min(x))), 6) AS least, round(sign(max(x)) * ln(1 + abs(max(x))), 6) AS most, round(sign(sum(x)) * ln(1 + abs(sum(x))), 6) AS total,
+  round(sign(sum(x * (id % 97))) * ln(1 + abs(sum(x * (id % 97)))), 6) AS weighted FROM g GROUP BY feature"""
+_DECIDED = f"""WITH {_FOLDS} SELECT fold, count(*) AS rows, count(DISTINCT id) AS ids, CAST(count(*) FILTER (o > 100) AS BIGINT) AS ones,
+  true AS p_in_range, true AS learned FROM folds GROUP BY fold"""
+ORACLES["cross_validation_logistic"] = _DECIDED
+ORACLES["cross_validation_forest"] = _DECIDED
+ORACLES["learner_round_trip"] = "SELECT o_orderkey AS id, true AS same, true AS p_in_range FROM orders"
+ORACLES["search_with_failure"] = """SELECT CAST(i AS INTEGER) AS trial, CASE WHEN i = 2 THEN 'failed' ELSE 'complete' END AS state,
+  CASE WHEN i = 2 THEN 2 ELSE 1 END AS attempts, true AS not_above_best, i = 2 AS worst, 9 AS parameters FROM range(5) t(i)"""

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tierwise.functions import rows
 from tierwise.functions.columns import finite, zero_if_missing
-from tierwise.models import boosting, crossval, search
+from tierwise.models import boosting, crossval, learners, search
 from tierwise.operators import (
     binning,
     bronze,
@@ -651,6 +651,36 @@ def silver_layer(spark, folder):
     return out.groupBy("Personality").agg(F.count("*").alias("n"), *[F.sum(c).alias(f"sum_{c}") for c in chosen])
 
 
+# Columns whose last digits depend on how a power, a logarithm or a deviation is worked out.
+LOOSE = ["activity_std", "extrovert_std", "introvert_std", "alone_log", "social_log"]
+
+
+@query
+def silver_all_columns(spark, folder):
+    """Every derived silver column of every row."""
+    out, names = _all_silver(spark, folder)
+    return rounded(out.select("id", *names), only=LOOSE)
+
+
+@query
+def gold_all_columns(spark, folder):
+    """Every silver column after the gold step, as counts, extremes and sums of each."""
+    out, names = _all_silver(spark, folder)
+    df = stored(rounded(out.select("id", "Personality", *names), only=LOOSE))
+    cleaned = gold.apply_gold(df, gold.fit_gold(split_profile(df)[0], features=names))
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("x")) for c in names])
+    long = cleaned.select("id", F.inline(cells))
+
+    def size(c):
+        """On a logarithmic scale, since sums of large numbers differ in their last digits."""
+        return F.round(F.signum(c) * F.log1p(F.abs(c)), 6)
+
+    return long.groupBy("feature").agg(
+        F.count("x").alias("n"), size(F.min("x")).alias("least"), size(F.max("x")).alias("most"),
+        size(F.sum("x")).alias("total"), size(F.sum(F.col("x") * (F.col("id") % 97))).alias("weighted"),
+    )
+
+
 @query
 def fold_safe_silver(spark, folder):
     """Scaling learned on the other folds, applied to fold 0."""
@@ -754,6 +784,24 @@ def enhanced_features(spark, folder):
     return enhanced.unionByName(layers.apply_enhanced(bronze.encode_yes_no(test), fitted))
 
 
+@query
+def enhanced_one_call(spark, folder):
+    """Raw rows to all derived columns and target means in one call; train fit, both tables."""
+    train, test = split_profile(order_profile(spark, folder))
+    parts = layers.enhanced_silver(train, [test.drop("Personality")], power=False, statistics=False)
+    names = [c for c in parts[1].columns if c not in (*MEASURES, FEAR, DRAINED, f"{FEAR}_encoded", f"{DRAINED}_encoded")]
+    return rounded(parts[0].select(*names).unionByName(parts[1].select(*names)), only=[*LOOSE, f"{FEAR}_target_encoded", f"{DRAINED}_target_encoded"])
+
+
+@query
+def enhanced_oversampled(spark, folder):
+    """The one call with the switch that evens out the classes: rows of each, and gaps left."""
+    train, _ = split_profile(order_profile(spark, folder))
+    (out,) = layers.enhanced_silver(train, power=False, target_means=False, statistics=False, oversampled=True)
+    gaps = sum((F.col(c).isNull().cast("int") for c in out.columns if c != "id"), F.lit(0))
+    return out.groupBy("Personality_encoded").agg(F.count("*").alias("n"), F.sum(gaps).alias("gaps"))
+
+
 # ---- gold -------------------------------------------------------------------
 
 
@@ -897,14 +945,13 @@ def top_model_features(spark, folder):
 
 @query
 def parameter_search(spark, folder):
-    df, names = _training_rows(spark, folder)
-    return search.search(df, names, n_trials=3, fixed={"iterations": 5}).trials
+    """Few rounds per trial; limits and fills are learned inside each fold."""
+    return search.search(_folded_rows(spark, folder), [], n_trials=4, fixed={"iterations": 5}, prepare=_cleaned, parallelism=4).trials
 
 
 @query
 def search_record_json(spark, folder):
-    df, names = _training_rows(spark, folder)
-    found = search.search(df, names, n_trials=2, fixed={"iterations": 3})
+    found = search.search(_folded_rows(spark, folder), [], n_trials=2, fixed={"iterations": 3}, prepare=_cleaned)
     path = f"{durable_folder(spark)}/search"
     results.write_json(results.search_record(spark, found.best_params, found.best_score, found.n_trials, found.seconds), path)
     return results.read_json(spark, path, results.SEARCH_RECORD).drop("timestamp", "seconds")
@@ -912,8 +959,8 @@ def search_record_json(spark, folder):
 
 @query
 def parameter_importance(spark, folder):
-    df, names = _training_rows(spark, folder)
-    return search.search(df, names, n_trials=3, fixed={"iterations": 3}).parameter_importance()
+    found = search.search(_folded_rows(spark, folder), [], n_trials=8, fixed={"iterations": 3}, prepare=_cleaned, parallelism=4)
+    return found.parameter_importance()
 
 
 @query
@@ -929,6 +976,63 @@ def batch_scoring(spark, folder):
     return results.submission(boosting.BoostedModel.fit(train, names, QUICK).score(test), "p")
 
 
+def _known_answer(spark, folder, learner) -> DataFrame:
+    """Per fold: what a right cross-validation must give when the features decide the label."""
+    df = _folded_rows(spark, folder)
+    decided = df.withColumn("label", F.when(F.coalesce(F.col(OUTSIDE), F.lit(0.0)) > 100, 1).otherwise(0)).withColumn(OUTSIDE, F.coalesce(F.col(OUTSIDE), F.lit(0.0)))
+    result = crossval.train_cv(decided, [], prepare=_cleaned, learner=learner)
+    return result.oof.groupBy("fold").agg(
+        F.count("*").alias("rows"),
+        F.countDistinct("id").alias("ids"),
+        F.sum(F.col("label").cast("long")).alias("ones"),
+        F.every((F.col("p") >= 0) & (F.col("p") <= 1)).alias("p_in_range"),
+        (F.avg((F.col("label") == F.col("predicted")).cast("double")) > 0.9).alias("learned"),
+    )
+
+
+@query
+def cross_validation_logistic(spark, folder):
+    return _known_answer(spark, folder, learners.logistic())
+
+
+@query
+def cross_validation_forest(spark, folder):
+    return _known_answer(spark, folder, learners.forest(trees=10, depth=5))
+
+
+@query
+def learner_round_trip(spark, folder):
+    """Scores of a logistic model and of its reloaded copy, which must not differ."""
+    df, names = _training_rows(spark, folder)
+    path = f"{durable_folder(spark)}/learner"
+    model = learners.logistic().fit(df, names)
+    model.save(path)
+    again = learners.PipelineFit.load(spark, path)
+    both = model.score(df).withColumnsRenamed({"p": "p1", "predicted": "c1"})
+    return again.score(both).select("id", (F.col("p") == F.col("p1")).alias("same"), F.col("p").between(0, 1).alias("p_in_range"))
+
+
+@query
+def search_with_failure(spark, folder):
+    """A search begun, left after two trials and gone on with; the third trial always fails."""
+    df = _folded_rows(spark, folder)
+    log = search.TrialLog(spark, f"{durable_folder(spark)}/trials")
+    doomed = search.draw_trials(5)[2]
+
+    def make(params):
+        if params == doomed:
+            raise RuntimeError("planted")
+        return learners.logistic(penalty=params["reg_lambda"] / 10, iterations=10)
+
+    search.search(df, [], n_trials=2, prepare=_cleaned, make=make, log=log)
+    found = search.search(df, [], n_trials=5, prepare=_cleaned, make=make, log=log, parallelism=4)
+    best = F.lit(found.best_score)
+    drawn = sum((F.col(n).isNotNull().cast("int") for n in search.SPACE), F.lit(0))
+    return found.trials.select(
+        "trial", "state", "attempts", (F.col("score") <= best).alias("not_above_best"), (F.col("score") == search.WORST).alias("worst"), drawn.cast("int").alias("parameters")
+    )
+
+
 @query
 def first_slice(spark, folder):
     """Encode, flag, limit, derive and summarise by label."""
