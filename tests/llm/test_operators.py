@@ -408,17 +408,62 @@ def test_compact_windows_of_many_texts_at_once(monkeypatch):
     owner, shingles = passages.shingle_hashes(texts)
     assert np.bincount(owner, minlength=len(texts)).tolist() == [0, 0, 45, 46, 696, 696, 47]
     got = collections.Counter()
-    key, place, first, last = passages.compact_windows(owner, shingles)
-    for k, p, a, b in zip(key.tolist(), place, first, last):
-        assert owner[a] == owner[p] == owner[b + 45] and b <= p <= a + 45
-        begin = np.searchsorted(owner, owner[a])
-        for s in range(a, b + 1):
-            got[int(owner[a]), k, int(s - begin), int(p - begin)] += 1
+    key, place, first, last, content = passages.compact_windows(owner, shingles)
+    for k, p, a, b, c in zip(key.tolist(), place, first, last, content.tolist()):
+        assert owner[a] == owner[p] == owner[b + 45] and a <= b
+        begin = int(np.searchsorted(owner, owner[a]))
+        got[int(owner[a]), k, int(p - begin), int(a - begin), int(b - begin), c] += 1
     alone = collections.Counter()
     for t, text in enumerate(texts):
-        for k, p, a, b in zip(*(x.tolist() for x in passages.compact_windows(*passages.shingle_hashes([text])))):
-            alone.update((t, k, s, p) for s in range(a, b + 1))
-    assert got == alone and len(alone) == 4 * (1 + 651 + 651 + 2)
+        alone.update((t, *x) for x in zip(*(x.tolist() for x in passages.compact_windows(*passages.shingle_hashes([text])))))
+    assert got == alone and {t for t, *_ in alone} == {3, 4, 5, 6}
+    # Every passage of a text is covered.
+    for t, n in ((3, 1), (4, 651), (6, 2)):
+        assert {s for u, _, _, a, b, _ in alone if u == t for s in range(a, b + 1)} == set(range(n))
+
+
+def test_passages_alike_share_a_signature_at_their_shift():
+    """One word of fifty changed, left out or added, at each place: some window of both starts there."""
+    base = prose(77, 50)
+    for i in range(50):
+        for other in (base[:i] + ["new"] + base[i + 1 :], base[:i] + ["new"] + base[i:], base[:i] + base[i + 1 :] + ["end"]):
+            a, b = prose(1, 80) + base + prose(2, 80), prose(3, 95) + other + prose(4, 80)
+            if passages.alike([" ".join(base)], [" ".join(other[:50])])[0] < passages.SIMILAR:
+                continue
+            keys = [set(passages.compact_windows(*passages.shingle_hashes([" ".join(t)]))[0].tolist()) for t in (a, b)]
+            assert keys[0] & keys[1], (i, len(other))
+
+
+def test_texts_of_one_word_have_few_windows():
+    """Stretches of one word and of a short period are windows at both ends, not at each start."""
+    for text in ("x " * 5000, "a b c " * 2000):
+        owner, shingles = passages.shingle_hashes([text])
+        key, place, first, last, content = passages.compact_windows(owner, shingles)
+        assert len(key) <= 2 * (1 + passages.HASHES)
+        assert min(first) == 0 and max(last) == len(shingles) - passages.SPAN
+
+
+def test_contents_are_equal_for_equal_stretches():
+    values = np.array([5, 6, 7, 1, 5, 6, 7, 2, 5, 6], np.uint64)
+    got = passages.contents(values, np.array([0, 4, 0, 8, 0, 1]), np.array([3, 7, 2, 10, 4, 4]))
+    assert got[0] == got[1] and got[2] == got[3] and len(set(got.tolist())) == 4
+    same = passages.firsts(np.array([0, 0, 0, 1]), np.array([9, 8, 9, 9], np.uint64), np.array([1, 1, 1, 1], np.uint64))
+    assert same.tolist() == [0, 1, 0, 3]
+
+
+def test_repeats_inside_a_text_get_their_spans(spark):
+    """A passage that one text holds twice and another once; and stretches of one word."""
+    shared = " ".join(prose(321, 60))
+    texts = [
+        " ".join([*prose(11, 40), shared, *prose(12, 70), shared, *prose(13, 40)]), " ".join([*prose(14, 90), shared, *prose(15, 10)]),
+        "go " * 80 + " ".join(prose(16, 30)), " ".join(prose(17, 20)) + " go" * 120, " ".join(prose(18, 200)),
+    ]
+    got = {r.doc_id: r for r in passages.repeated_passages(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    spans = {i: [tuple(map(int, x.split(":"))) for x in r.spans.split(",") if x] for i, r in got.items()}
+    assert len(spans[0]) == 2 and spans[0][0][0] <= 40 and spans[0][0][1] >= 100 and spans[0][1][0] <= 170 and spans[0][1][1] >= 230
+    assert len(spans[1]) == 1 and spans[1][0][0] <= 90 and spans[1][0][1] >= 150
+    assert got[2].class_id == got[3].class_id == 2 and spans[2] and spans[3]
+    assert got[4].class_id == 4 and spans[4] == [] and got[0].class_id == got[1].class_id == 0
 
 
 def test_passage_likeness_equals_brute_force():
@@ -474,4 +519,4 @@ def test_empty_table(empty, run):
 
 
 def test_every_query_is_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
