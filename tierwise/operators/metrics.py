@@ -218,4 +218,4 @@ def best_threshold(df: DataFrame, label: str, score: str, cuts: Sequence[float]
     """(by..., threshold, accuracy, predicted_ones) of the most accurate threshold, the lowest on ties."""
     table = threshold_table(df, label, score, cuts if cuts is not None else THRESHOLDS, by)
     best = F.max_by(F.struct("threshold", "accuracy", "predicted_ones"), F.struct("accuracy", -F.col("threshold")))
-    return table.groupBy(*by).agg(best.alias("b")).select(*by, "b.*")
+    return table.groupBy(*by).agg(best.alias("b")).where(F.col("b").isNotNull()).select(*by, "b.*")
