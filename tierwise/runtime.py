@@ -34,3 +34,13 @@ def durable(df: DataFrame, label: str) -> DataFrame:
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Remove the table behind a ``durable`` result that nothing will read again."""
+    spark = df.sparkSession
+    root = scratch_root(spark)
+    for folder in {file.rsplit("/", 1)[0] for file in df.inputFiles()}:
+        if "/tierwise/" in folder and folder.rsplit("/", 1)[0].endswith(root.split("://")[-1].rstrip("/").removeprefix("file:")):
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
