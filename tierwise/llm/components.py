@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.runtime import durable
+from tierwise.runtime import discard, durable
 
 
 def checksum(edges: DataFrame) -> tuple:
@@ -47,7 +47,8 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         spread = star(both, large=True)
-        now = durable(star(spread, large=False), "component-edges")
+        before, now = now, durable(star(spread, large=False), "component-edges")
+        discard(before)
         again = checksum(now)
         if again == seen:
             break
