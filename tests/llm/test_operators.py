@@ -177,17 +177,20 @@ def test_frequent_lines_reject_depleted_texts_but_keep_their_first(spark):
     assert {r.doc_id for r in kept.collect()} == {i for i in got if got[i].kept}
 
 
-def brute_lines(rows, n=3):
+def brute_lines(rows, n=3, words=50):
     order = sorted({(r[0], r[1] or "") for r in rows}, key=lambda r: (r[0] is not None, r[0] or 0))
     seen, out = set(), {}
     for doc_id, text in order:
         lines = text.split("\n")
         solid = [i for i, x in enumerate(lines) if x.strip(" \t\x0b\f\r")]
         gone = set()
-        for s in range(max(1, len(solid) - n + 1) if solid else 0):
-            run = tuple(lines[i].strip(" \t\x0b\f\r") for i in solid[s : s + n])
+        for s in range(len(solid)):
+            size = next((k for k in range(1, n) if sum(len(lines[i].split()) for i in solid[s : s + k]) >= words), n)
+            if s and s + size > len(solid):
+                continue
+            run = tuple(lines[i].strip(" \t\x0b\f\r") for i in solid[s : s + size])
             if run in seen:
-                gone |= set(solid[s : s + n])
+                gone |= set(solid[s : s + size])
             seen.add(run)
         out[doc_id, text] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(solid), len(gone))
     return out
@@ -205,6 +208,23 @@ def test_line_dedup_equals_brute_force(docs, rows):
         assert (r.text or "", r.line_dedup.n_lines, r.line_dedup.n_removed) == want[r.doc_id, original]
 
 
+def test_few_long_lines_that_repeat_go(spark):
+    rng = random.Random(9)
+    long, half, other, short = (" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(n)) for n in (60, 30, 25, 12))
+    own = lambda k: f"line {k} of its own"
+    texts = [
+        f"{own(1)}\n{long}\n{own(2)}\n{half}\n{other}\n{own(3)}\n{short}\n{own(4)}",
+        f"{own(5)}\n  {long}\n{own(6)}",
+        f"{half}\n\n{other}\n{own(7)}\n{short}",
+        f"{own(8)}\n{other}\n{half}\n{short}\n{own(9)}",
+        long,
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in enumerate(texts)], SCHEMA)
+    got = {r.doc_id: r.text for r in linededup.drop_repeated_lines(docs).collect()}
+    # A long line alone, two lines of 55 words together; not in another order, nor a short one.
+    assert got == {0: texts[0], 1: f"{own(5)}\n{own(6)}", 2: f"\n{own(7)}\n{short}", 3: texts[3], 4: ""}
+
+
 def brute_poisson(rate, u):
     p = c = math.exp(-rate)
     k = 0

@@ -5,39 +5,52 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierwise.llm.common import LINE_SPACE, text_keys
+from tierwise.llm.common import LINE_SPACE, SPACE, text_keys
 from tierwise.operators.lookup import lookup
 from tierwise.runtime import durable
 
 MIN_RUN = 3
+MIN_WORDS = 50
 
 
-def line_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
-    """One row per window of ``min_run`` non-blank lines, or of all lines of a shorter text.
+def line_windows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_run: int = MIN_RUN, min_words: int = MIN_WORDS) -> DataFrame:
+    """One row per window of non-blank lines: from each line on, ``min_run`` lines or, if fewer reach them, ``min_words`` words.
 
-    ``low`` is the smallest line hash of the window and ``at`` the line that has it: the
-    fingerprint that any equal run of lines selects too. ``run`` is the hash of the window.
+    A text that reaches neither has one window of all its lines. ``low`` is the smallest line hash
+    of the window and ``at`` the line that has it: the fingerprint that any equal run of lines
+    selects too. ``run`` holds two hashes of the window, by two hashes of each line.
     """
+    solid = F.filter(
+        F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(LINE_SPACE))),
+        lambda x: x != "",
+    )
     hashes = F.transform(
-        F.filter(
-            F.transform(F.split(F.coalesce(F.col(text), F.lit("")), "\n"), lambda x: F.btrim(x, F.lit(LINE_SPACE))),
-            lambda x: x != "",
-        ),
-        lambda x: F.xxhash64(x),
+        solid,
+        lambda x: F.struct(F.xxhash64(x).alias("h"), F.xxhash64(F.lit("second"), x).alias("g"), F.size(F.split(x, SPACE)).alias("n")),
     )
     rows = docs.select(
-        F.col(doc_id).alias("doc"), *[k.alias(n) for k, n in zip(text_keys(F.col(text)), ("key1", "key2"))], hashes.alias("h")
-    ).where(F.size("h") > 0)
+        F.col(doc_id).alias("doc"), *[k.alias(n) for k, n in zip(text_keys(F.col(text)), ("key1", "key2"))], hashes.alias("lines")
+    ).where(F.size("lines") > 0)
+
+    def size(s):
+        # Lines of a window: each start of it that has too few words asks for one more.
+        few = [F.aggregate(F.slice("lines.n", s + 1, k), F.lit(0), lambda x, y: x + y) < min_words for k in range(1, min_run)]
+        return sum((f.cast("int") for f in few), F.lit(1))
 
-    def window(s):
-        part = F.slice("h", s + 1, min_run)
-        low = F.array_min(part)
+    def window(w):
+        first, second = F.slice("lines.h", w["s"] + 1, w["n"]), F.slice("lines.g", w["s"] + 1, w["n"])
+        low = F.array_min(first)
         return F.struct(
-            s.alias("start"), F.xxhash64(part).alias("run"), low.alias("low"), (s + F.array_position(part, low) - 1).alias("at")
+            w["s"].alias("start"),
+            w["n"].alias("size"),
+            F.struct(F.xxhash64(first).alias("run1"), F.xxhash64(second).alias("run2")).alias("run"),
+            low.alias("low"),
+            (w["s"] + F.array_position(first, low) - 1).alias("at"),
         )
 
-    starts = F.sequence(F.lit(0), F.greatest(F.size("h") - min_run, F.lit(0)))
-    return rows.select("doc", "key1", "key2", F.inline(F.transform(starts, window)))
+    starts = F.transform(F.sequence(F.lit(0), F.size("lines") - 1), lambda s: F.struct(s.alias("s"), size(s).alias("n")))
+    whole = F.filter(starts, lambda w: (w["s"] == 0) | (w["s"] + w["n"] <= F.size("lines")))
+    return rows.select("doc", "key1", "key2", F.inline(F.transform(whole, window)))
 
 
 def repeated_windows(windows: DataFrame) -> DataFrame:
@@ -68,24 +81,26 @@ def repeated_windows(windows: DataFrame) -> DataFrame:
     return (
         lookup(candidates, first, "run", "n", counted=windows)
         .where(F.col("first").isNotNull() & ~spot.eqNullSafe(F.col("first")))
-        .select("doc", "key1", "key2", "start")
+        .select("doc", "key1", "key2", "start", "size")
     )
 
 
-def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_run: int = MIN_RUN) -> DataFrame:
+def drop_repeated_lines(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", min_run: int = MIN_RUN, min_words: int = MIN_WORDS
+) -> DataFrame:
     """``docs`` with ``text`` freed of lines that lie in a run of lines seen earlier.
 
-    A run is ``min_run`` or more non-blank lines (for a shorter text: the whole text), compared
-    without outer spaces; earlier is by doc_id, then text, then line. Blank lines stay. Adds a
+    A run is at least ``min_run`` non-blank lines, or fewer that hold at least ``min_words`` words (for a
+    text that has neither: the whole text), compared without outer spaces; earlier is by doc_id, then text, then line. Blank lines stay. Adds a
     struct ``line_dedup`` (n_lines non-blank, n_removed). Rows equal in doc_id and text count as one
     document and are treated alike; null texts stay null. All other columns pass through, but for one named ``line_dedup``.
     """
     docs = docs.drop("line_dedup")
-    windows = durable(line_windows(docs, doc_id, text, min_run), "line-windows")
+    windows = durable(line_windows(docs, doc_id, text, min_run, min_words), "line-windows")
     gone = (
         repeated_windows(windows)
         .groupBy("doc", "key1", "key2")
-        .agg(F.collect_set("start").alias("starts"))
+        .agg(F.collect_set(F.struct("start", "size")).alias("starts"))
         .select(F.struct("doc", "key1", "key2").alias("__line_key"), F.col("starts").alias("__line_starts"))
     )
     keys = F.struct(F.col(doc_id).alias("doc"), *[k.alias(n) for k, n in zip(text_keys(F.col(text)), ("key1", "key2"))])
@@ -104,7 +119,7 @@ def drop_repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "te
         "__cut",
         F.when(
             F.col("__line_starts").isNotNull(),
-            F.array_distinct(F.flatten(F.transform("__line_starts", lambda s: F.slice("__solid", s + 1, min_run)))),
+            F.array_distinct(F.flatten(F.transform("__line_starts", lambda s: F.slice("__solid", s["start"] + 1, s["size"])))),
         ),
     )
     left = F.array_except(F.sequence(F.lit(0), F.size("__lines") - 1), "__cut")

@@ -74,15 +74,16 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM m LEFT JOIN gone ON gone.host = m.host AND gone.text = m.text
 """
 
-OP9 = r"""
+OP9 = rf"""
 WITH d AS (SELECT doc_id, text, string_split(coalesce(text, ''), chr(10)) AS raw FROM documents),
 l AS (SELECT doc_id, unnest(raw) AS line, unnest(range(len(raw))) AS i FROM d),
 s AS (SELECT doc_id, i, line, trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS solid FROM l),
-k AS (SELECT doc_id, i, solid, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS k, count(*) OVER (PARTITION BY doc_id) AS n FROM s WHERE solid <> ''),
-a AS (SELECT doc_id, list(solid ORDER BY k) AS solid, max(n) AS n FROM k GROUP BY doc_id),
-w AS (SELECT doc_id, solid, unnest(range(greatest(n - 3, 0) + 1)) AS s FROM a),
-r AS (SELECT doc_id, s, row_number() OVER (PARTITION BY solid[s + 1:s + 3] ORDER BY doc_id, s) AS o FROM w),
-gone AS (SELECT DISTINCT k.doc_id, k.i FROM k JOIN r ON r.doc_id = k.doc_id AND r.o > 1 AND k.k BETWEEN r.s AND r.s + 2),
+k AS (SELECT doc_id, i, solid, len(regexp_split_to_array(solid, '{SPACES}')) AS c, row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1 AS k, count(*) OVER (PARTITION BY doc_id) AS n FROM s WHERE solid <> ''),
+a AS (SELECT doc_id, list(solid ORDER BY k) AS solid, list(c ORDER BY k) AS c, max(n) AS n FROM k GROUP BY doc_id),
+u AS (SELECT doc_id, solid, n, c, unnest(range(n)) AS s FROM a),
+w AS (SELECT doc_id, solid, n, s, CASE WHEN c[s + 1] >= 50 THEN 1 WHEN c[s + 1] + c[s + 2] >= 50 THEN 2 ELSE 3 END AS m FROM u),
+r AS (SELECT doc_id, s, m, row_number() OVER (PARTITION BY solid[s + 1:s + m] ORDER BY doc_id, s) AS o FROM w WHERE s = 0 OR s + m <= n),
+gone AS (SELECT DISTINCT k.doc_id, k.i FROM k JOIN r ON r.doc_id = k.doc_id AND r.o > 1 AND k.k BETWEEN r.s AND r.s + m - 1),
 kept AS (SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS text FROM l WHERE NOT EXISTS (
   SELECT 1 FROM gone WHERE gone.doc_id = l.doc_id AND gone.i = l.i) GROUP BY doc_id),
 cut AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
