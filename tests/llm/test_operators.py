@@ -3,12 +3,14 @@
 import base64
 import collections
 import hashlib
+import itertools
 import json
 import math
 import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -533,6 +535,56 @@ def test_passages_of_near_copies_reach_their_original(spark):
     assert sum(got[a] == got[b] for a, b in true) >= 0.95 * len(true) > 60
 
 
+@pytest.mark.parametrize("few", [32, 1])
+def test_members_are_linked_as_by_brute_force(monkeypatch, few):
+    """Unlike texts with a line in common, near copies and texts of repeated words: links and classes in each signature."""
+    monkeypatch.setattr(passages, "FEW", few)
+    rng, line, base = random.Random(8), prose(900, 30), prose(901, 58)
+    texts = [prose(910 + k, 40) + line + prose(930 + k, 40) for k in range(8)]
+    texts += [[f"n{k}" if i in (5 + 4 * k, 50 - 3 * k) else w for i, w in enumerate(base)] + prose(950 + k, 9 * k) for k in range(8)]
+    texts += [sum(([w] * rng.randint(15, 30) for w in rng.sample("abc", 3)), []) for _ in range(8)]
+    found = collections.defaultdict(list)
+    shingles = [passages.shingle_hashes([" ".join(t)])[1] for t in texts]
+    for t, values in enumerate(shingles):
+        for key, place, first, last, _ in set(zip(*(x.tolist() for x in passages.compact_windows(np.zeros(len(values), np.int64), values)))):
+            found[key].append((t, place, first, last))
+    rows = [(k, *m) for k, ms in found.items() if len({m[0] for m in ms}) > 1 for m in ms]
+    stretch = [shingles[t][first : last + passages.SPAN].view(np.uint8).reshape(-1, 8)[:, : passages.BYTES].tobytes() for _, t, _, first, last in rows]
+    sig, t, place, first, last = (np.array(x) for x in zip(*rows))
+    sig = sig.view(np.int64) if sig.dtype == np.uint64 else sig.astype(np.uint64).view(np.int64)
+    table = pa.table({"unit": sig, "sig": sig, "t": t, "place": place, "first": first, "last": last, "copies": np.ones(len(t), np.int64), "stretch": pa.array(stretch, pa.binary())})
+    got = {x[1:] for part in passages.Members(table).all_links() for x in zip(*(c.tolist() for c in part))}
+    true = set()
+    for ms in found.values():
+        for (a, p, f, e), (b, q, g, h) in itertools.permutations(ms, 2):
+            shift = q - p
+            for s in range(max(f, g - shift), min(e, h - shift) + 1):
+                x, y = (set(shingles[i][k : k + passages.SPAN].tolist()) for i, k in ((a, s), (b, s + shift)))
+                if a != b and len(x & y) / len(x | y) >= passages.SIMILAR:
+                    true.add((a, b, shift, s))
+    starts = {(a, b, shift, s) for a, b, shift, low, high in got for s in range(low, high + 1)}
+    assert starts and starts <= true
+
+    def classes(pairs):
+        root = list(range(len(texts)))
+        for _ in texts:
+            for a, b in pairs:
+                root[a] = root[b] = min(root[a], root[b])
+        return root
+
+    assert classes({x[:2] for x in starts}) == classes({x[:2] for x in true})
+
+
+def test_unlike_texts_with_a_line_in_common_take_no_rounds(spark, monkeypatch):
+    stored, durable = collections.Counter(), passages.durable
+    monkeypatch.setattr(passages, "durable", lambda df, label: stored.update([label]) or durable(df, label))
+    line, shared = prose(700, 30), prose(701, 70)
+    texts = [" ".join(prose(710 + k, 40) + line + prose(740 + k, 40)) for k in range(20)] + [" ".join(prose(770 + k, 20) + shared) for k in range(2)]
+    got = {r.doc_id: r for r in passages.repeated_passages(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    assert [got[i].class_id for i in range(22)] == [*range(20), 20, 20] and got[3].spans == "" != got[21].spans
+    assert max(stored.values()) == 1
+
+
 @pytest.mark.parametrize("run", [quality.quality, simhash.near_duplicates, mixing.mix, spotsigs.edited_prints, ngrams.scores, passages.repeated_passages, linededup.drop_repeated_lines, secrets.secret_spans])
 def test_empty_table(empty, run):
     assert run(empty).count() == 0
