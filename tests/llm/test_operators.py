@@ -585,6 +585,54 @@ def test_unlike_texts_with_a_line_in_common_take_no_rounds(spark, monkeypatch):
     assert max(stored.values()) == 1
 
 
+def moved(df, column):
+    """How many exchanges of the plan carry the column."""
+    plan, found = df._jdf.queryExecution().executedPlan(), 0
+    nodes = [plan.initialPlan() if plan.nodeName() == "AdaptiveSparkPlan" else plan]
+    while nodes:
+        node = nodes.pop()
+        found += node.nodeName() == "Exchange" and f"{column}#" in node.output().toString()
+        nodes += [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_texts_of_passages_are_moved_once(spark, monkeypatch):
+    plans, durable = {}, passages.durable
+    monkeypatch.setattr(passages, "durable", lambda df, label: plans.update({label: moved(df, "body")}) or durable(df, label))
+    texts = [" ".join(prose(60 + k, 30) + prose(50, 70)) for k in range(4)]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        passages.repeated_passages(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert plans["passage-windows"] == 0 and plans["passage-links"] == 1
+
+
+@pytest.mark.parametrize("rows", [10_000, 3])
+def test_shared_windows_of_frequent_keys_too(spark, monkeypatch, rows):
+    """Windows that different texts share, copies of a text being one; a line in all texts is frequent in the second run."""
+    monkeypatch.setattr(passages, "HOT_ROWS", rows)
+    line = prose(800, 60)
+    texts = [prose(810 + k, 50) + line + prose(830 + k, 20 + k) for k in range(12)] + [prose(850, 200)] * 9 + [prose(851, 90) + prose(852, 70)] + [prose(852, 70)]
+    rows = [(k, " ".join(t)) for k, t in zip([*range(12), *[12] * 9, 13, 14], texts)]
+    found = passages.windows(spark.createDataFrame(rows, "t bigint, body string").repartition(3)).localCheckpoint()
+    assert bool(passages.frequent_keys(found).count()) == (passages.HOT_ROWS == 3)
+    every, owners = set(map(tuple, found.collect())), collections.defaultdict(set)
+    for t, key, *_ in every:
+        owners[key].add(t)
+    got = list(map(tuple, passages.shared_windows(found).select("t", "sig", "content", "place", "first", "last", "same").collect()))
+    assert sorted(got) == sorted(x for x in every if len(owners[x[1]]) > 1) and {x[0] for x in got} == {*range(12), 13, 14}
+
+
+def test_documents_without_id_count_as_copies(spark):
+    """Copies without an id, some with: every row is there, the shared passage is linked once."""
+    shared = " ".join(prose(870, 80))
+    rows = [(None, "a " + shared, "en", "s", 1)] * 4 + [(7, "b " + shared, "en", "s", 1)] * 2 + [(9, " ".join(prose(871, 80)), "en", "s", 1)]
+    got = passages.repeated_passages(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert sorted((r.doc_id or -1, r.class_id, r.n_copies, r.n_links) for r in got) == [(-1, 7, 4, 1)] * 4 + [(7, 7, 2, 1)] * 2 + [(9, 9, 1, 0)]
+
+
 @pytest.mark.parametrize("run", [quality.quality, simhash.near_duplicates, mixing.mix, spotsigs.edited_prints, ngrams.scores, passages.repeated_passages, linededup.drop_repeated_lines, secrets.secret_spans])
 def test_empty_table(empty, run):
     assert run(empty).count() == 0
