@@ -585,6 +585,20 @@ def test_unlike_texts_with_a_line_in_common_take_no_rounds(spark, monkeypatch):
     assert max(stored.values()) == 1
 
 
+@pytest.mark.parametrize("at_once", [1 << 20, 16])
+def test_shingles_are_equal_where_their_words_are(monkeypatch, at_once):
+    monkeypatch.setattr(passages, "BYTES_AT_ONCE", at_once)
+    texts = ["", " \t\n", "a b c d e", "\na\tB\rC\fd\x0be ", "ab c d e f g", "a bc d e f g", "\u00c4 \u00e4 x\x85y \u00e9\u00a0 \x1c z", "go " * 70, "w" * 90 + " a b c d E", *(" ".join(prose(k, 60)) for k in range(3))]
+    words = [t.lower().encode().split() for t in texts]
+    want = [(k, tuple(w[i : i + 5])) for k, w in enumerate(words) for i in range(len(w) - 4)]
+    owner, shingles = passages.shingle_hashes(texts)
+    assert owner.tolist() == [k for k, _ in want]
+    assert len(set(zip(shingles.tolist(), (s for _, s in want)))) == len(set(shingles.tolist())) == len({s for _, s in want})
+    twice = [len(set(want[s : s + 46])) < 46 for s in range(len(want) - 45) if want[s][0] == want[s + 45][0]]
+    inside = [s for s in range(len(want) - 45) if want[s][0] == want[s + 45][0]]
+    assert passages.repeating(owner, shingles)[inside].tolist() == twice and any(twice) and not all(twice)
+
+
 def moved(df, column):
     """How many exchanges of the plan carry the column."""
     plan, found = df._jdf.queryExecution().executedPlan(), 0
