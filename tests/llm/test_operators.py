@@ -585,6 +585,20 @@ def test_unlike_texts_with_a_line_in_common_take_no_rounds(spark, monkeypatch):
     assert max(stored.values()) == 1
 
 
+def test_passages_with_a_word_more_are_linked_beside_their_shift(spark):
+    """Texts start with 50 words, one added or left out at any place: the run in common may lie at another shift than the likeness."""
+    texts, pairs = [], []
+    for i in range(1, 49):
+        for base, more in ((prose(9000 + i, 51), ["more", 0]), (prose(9100 + i, 51), [1])):
+            other = base[:i] + more[:-1] + base[i + more[-1] :]
+            a, b = " ".join(base[:50]), " ".join(other[:50])
+            if passages.alike([a], [b])[0] >= passages.SIMILAR:
+                pairs.append((len(texts), len(texts) + 1))
+                texts += [a, b]
+    got = {r.doc_id: r for r in passages.repeated_passages(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)).collect()}
+    assert len(pairs) > 20 and all(got[a].class_id == got[b].class_id == a and got[a].spans == got[b].spans == "0:50" for a, b in pairs)
+
+
 @pytest.mark.parametrize("at_once", [1 << 20, 16])
 def test_shingles_are_equal_where_their_words_are(monkeypatch, at_once):
     monkeypatch.setattr(passages, "BYTES_AT_ONCE", at_once)
