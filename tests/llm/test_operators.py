@@ -575,6 +575,14 @@ def test_members_are_linked_as_by_brute_force(monkeypatch, few):
     assert classes({x[:2] for x in starts}) == classes({x[:2] for x in true})
 
 
+def test_near_copies_are_linked_with_each_other(spark):
+    """Three copies of a text with another word changed in two of them: each has a passage in common with both others."""
+    base = prose(980, 60)
+    texts = [" ".join(f"n{at}" if i == at else w for i, w in enumerate(base)) for at in (-1, 3, 56)]
+    got = passages.repeated_passages(spark.createDataFrame([(i, t, "en", "s", 1) for i, t in enumerate(texts)], SCHEMA)).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links, r.spans) for r in got) == [(i, 0, 2, "0:60") for i in range(3)]
+
+
 def test_unlike_texts_with_a_line_in_common_take_no_rounds(spark, monkeypatch):
     stored, durable = collections.Counter(), passages.durable
     monkeypatch.setattr(passages, "durable", lambda df, label: stored.update([label]) or durable(df, label))
